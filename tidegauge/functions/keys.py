@@ -6,18 +6,15 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, functions as F
 
-from .text import ColumnLike, as_col
+NULL_TOKEN = r"'\0'"
 
-NULL_TOKEN = "\x00"
 
-
-def surrogate_id(*keys: ColumnLike) -> Column:
+def surrogate_id(*keys: str) -> Column:
     """60-bit id from the MD5 of the joined key parts (fits a BIGINT)."""
-    digest = F.md5(F.concat_ws("|", *[as_col(k) for k in keys]))
-    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint")
+    return F.expr(f"cast(conv(substring(md5(concat_ws('|', {', '.join(keys)})), 1, 15), 16, 10) as bigint)")
 
 
 def row_hash(columns: Sequence[str]) -> Column:
     """Hash of a row for change detection; NULL and '' hash differently."""
-    parts = [F.coalesce(F.col(c).cast("string"), F.lit(NULL_TOKEN)) for c in columns]
-    return F.md5(F.concat_ws("|", *parts))
+    parts = ", ".join(f"coalesce(cast({c} as string), {NULL_TOKEN})" for c in columns)
+    return F.expr(f"md5(concat_ws('|', {parts}))")

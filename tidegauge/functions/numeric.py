@@ -2,61 +2,66 @@
 
 Ratios are computed with integer division and rounded half up once, so a result does not depend
 on an intermediate decimal scale.  A zero divisor gives NULL; with ``strict=True`` it raises.
+Arguments are column names or expression text.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from .text import ColumnLike, as_col
-
 PAGE_KB = 8.0
 LEGACY_PAGE_KB = 8.192
+_KB_PER_GB = 1 << 20
+
+
+def ratio_sql(num: str, den: str, digits: int = 2, *, strict: bool = False) -> str:
+    divisor = den if strict else f"nullif({den}, 0)"
+    n = f"abs({num}) * {2 * 10**digits}"
+    d = f"cast(abs({divisor}) as decimal(28,2))"
+    units = f"(cast({n} as decimal(36,2)) + {d}) div (2 * {d})"
+    signed = f"if(({num} < 0) <> ({den} < 0), -({units}), {units})"
+    return f"cast({signed} / {10**digits}BD as decimal(28,{digits}))"
 
 
-def ratio(num: ColumnLike, den: ColumnLike, digits: int = 2, *, strict: bool = False) -> Column:
+def ratio(num: str, den: str, digits: int = 2, *, strict: bool = False) -> Column:
     """``num / den`` rounded half up to ``digits`` places, as decimal(28, digits)."""
-    num, den = as_col(num), as_col(den)
-    divisor = den if strict else F.nullif(den, F.lit(0))
-    n = F.abs(num).cast("decimal(28,2)") * F.lit(2 * 10**digits)
-    d = F.abs(divisor).cast("decimal(28,2)")
-    units = F.call_function("div", n + d, d * F.lit(2))
-    signed = F.when((num < 0) != (den < 0), -units).otherwise(units)
-    return (signed / F.lit(10**digits).cast("decimal(10,0)")).cast(f"decimal(28,{digits})")
+    return F.expr(ratio_sql(num, den, digits, strict=strict))
+
+
+def percent_sql(num: str, den: str, *, strict: bool = False) -> str:
+    return f"cast({ratio_sql(f'(100 * {num})', den, strict=strict)} as decimal(18,2))"
 
 
-def percent(num: ColumnLike, den: ColumnLike, *, strict: bool = False) -> Column:
+def percent(num: str, den: str, *, strict: bool = False) -> Column:
     """Percentage with two decimals."""
-    return ratio(as_col(num).cast("decimal(26,2)") * F.lit(100), den, 2, strict=strict).cast("decimal(18,2)")
+    return F.expr(percent_sql(num, den, strict=strict))
 
 
-def safe_average(total: ColumnLike, requests: ColumnLike) -> Column:
+def safe_average(total: str, requests: str) -> Column:
     """Average per request; 0 when there were no requests."""
-    total, requests = as_col(total), as_col(requests)
-    average = ratio(total, requests).cast("decimal(18,2)")
-    return F.when(requests == 0, F.lit(0).cast("decimal(18,2)")).otherwise(average)
+    return F.expr(f"if({requests} = 0, 0, cast({ratio_sql(total, requests)} as decimal(18,2)))").cast("decimal(18,2)")
 
 
-def bytes_to_gb(c: ColumnLike) -> Column:
-    return (as_col(c).cast("decimal(28,0)") / F.lit(1 << 30)).cast("decimal(18,2)")
+def kb_to_gb_sql(c: str) -> str:
+    return f"cast({c} / {_KB_PER_GB}BD as decimal(18,2))"
 
 
-def kb_to_gb(c: ColumnLike) -> Column:
-    return (as_col(c) / F.lit(1 << 20)).cast("decimal(18,2)")
+def pages_to_mb_sql(pages: str, page_kb: float = PAGE_KB, digits: int = 2) -> str:
+    return f"cast(cast({pages} as decimal(20,0)) * {page_kb}BD / 1024BD as decimal(18,{digits}))"
 
 
-def pages_to_mb(pages: ColumnLike, page_kb: float = PAGE_KB, digits: int = 2) -> Column:
-    return (as_col(pages).cast("decimal(20,0)") * _page(page_kb) / F.lit(1024)).cast(f"decimal(18,{digits})")
+def pages_to_mb(pages: str, page_kb: float = PAGE_KB, digits: int = 2) -> Column:
+    return F.expr(pages_to_mb_sql(pages, page_kb, digits))
 
 
-def pages_to_gb(pages: ColumnLike, page_kb: float = PAGE_KB, digits: int = 3) -> Column:
-    return (as_col(pages).cast("decimal(20,0)") * _page(page_kb) / F.lit(1 << 20)).cast(f"decimal(18,{digits})")
+def pages_to_gb(pages: str, page_kb: float = PAGE_KB, digits: int = 3) -> Column:
+    return F.expr(f"cast(cast({pages} as decimal(20,0)) * {page_kb}BD / {_KB_PER_GB}BD as decimal(18,{digits}))")
 
 
-def free_percent(free: ColumnLike, total: ColumnLike) -> Column:
-    """Free space as a share of total space, two decimals; NULL for an empty drive."""
-    return percent(free, total)
+def bytes_to_gb(c: str) -> Column:
+    return F.expr(f"cast(cast({c} as decimal(20,0)) / {1 << 30}BD as decimal(18,2))")
 
 
-def _page(page_kb: float) -> Column:
-    return F.lit(str(page_kb)).cast("decimal(5,3)")
+def free_percent(free: str, total: str) -> Column:
+    """Free space as a share of total space, two decimals; NULL for an empty drive."""
+    return percent(free, total)

@@ -6,35 +6,33 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import Column, functions as F
 
-from .text import ColumnLike, as_col
-
 REPORT_WINDOW = timedelta(minutes=30)
-END_OF_TIME = "9999-12-31 00:00:00"
+DAWN, DUSK = "timestamp_ntz'0001-01-01 00:00:00'", "timestamp_ntz'9999-12-31 00:00:00'"
 
 
-def seconds_between(start: ColumnLike, end: ColumnLike) -> Column:
+def seconds_between_sql(start: str, end: str) -> str:
     """Number of whole-second boundaries crossed between two timestamps."""
-    return F.unix_timestamp(as_col(end)) - F.unix_timestamp(as_col(start))
+    return f"cast(unix_timestamp({end}) - unix_timestamp({start}) as int)"
 
 
 def ts(value: datetime | str) -> Column:
     text = value if isinstance(value, str) else value.isoformat(sep=" ")
-    return F.lit(text).cast("timestamp_ntz")
+    return F.expr(f"timestamp_ntz'{text}'")
 
 
-def snapshot_day(c: ColumnLike = "snapshot_date") -> Column:
+def snapshot_day(c: str = "snapshot_date") -> Column:
     """Partition value of a snapshot."""
-    return as_col(c).cast("date")
+    return F.expr(f"cast({c} as date)")
 
 
-def time_chunk(c: ColumnLike, days: int) -> Column:
+def time_chunk_sql(c: str, days: int) -> str:
     """Number of the fixed-length stretch of ``days`` days a timestamp falls in."""
-    return F.floor(F.unix_date(as_col(c).cast("date")) / F.lit(days)).cast("int")
+    return f"cast(floor(unix_date(cast({c} as date)) / {days}) as int)"
 
 
-def earliest_first(c: ColumnLike) -> Column:
+def earliest_first_sql(c: str) -> str:
     """Orderable value that is larger for an earlier timestamp (for use inside max(struct))."""
-    return ts(END_OF_TIME) - as_col(c)
+    return f"{DUSK} - {c}"
 
 
 def report_window(start: datetime | None, end: datetime) -> tuple[datetime, datetime]:
@@ -42,5 +40,5 @@ def report_window(start: datetime | None, end: datetime) -> tuple[datetime, date
     return (start if start is not None else end - REPORT_WINDOW), end
 
 
-def in_window(start: datetime, end: datetime, c: ColumnLike = "snapshot_date") -> Column:
-    return as_col(c).between(ts(start), ts(end))
+def in_window(start: datetime, end: datetime, c: str = "snapshot_date") -> Column:
+    return F.col(c).between(ts(start), ts(end))

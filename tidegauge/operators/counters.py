@@ -2,24 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame
 
-from ..functions.numeric import ratio
-from ..functions.text import name_key
+from ..functions.numeric import ratio_sql
+from ..functions.text import name_key_sql
 from ..sources.constants import AVERAGE, BASE, DIFFERENCED, RATE
 from .sequence import snapshot_sequence, with_sequence
 from .series import CHUNK_DAYS, with_previous_snapshot
 
-ON_RESET = ("keep", "null", "cumulative")
-_SNAP_COLUMNS = (
-    "instance_id",
-    "snapshot_date",
-    "inst_perf_param_id",
-    "instance_perf_value",
-    "cumulative_perf_value",
-    "startup_measure_ind",
-    "measurement_interval_s",
-)
+ON_RESET = {
+    "keep": "{gain}",
+    "null": "if({gain} >= 0, {gain}, null)",
+    "cumulative": "if({gain} >= 0, {gain}, cumulative_perf_value)",
+}
 
 
 def counter_delta(
@@ -43,40 +38,45 @@ def counter_delta(
     on_reset  a counter that fell without a restart: "keep" the negative difference, "null" (drops
               the row) or "cumulative" (take the new total).
     strict    raise on a zero-second interval instead of dropping the row.
+
+    A counter and its base travel together: look-back and division share one shuffle.
     """
     if base not in ("interval", "cumulative") or on_reset not in ON_RESET:
         raise ValueError(f"base={base!r}, on_reset={on_reset!r}")
     sequence = sequence if sequence is not None else snapshot_sequence(samples, parity=parity, chunk_days=chunk_days)
-    staged = with_sequence(match_counters(samples, params), sequence)
     looked_up = with_previous_snapshot(
-        staged,
+        with_sequence(match_counters(samples, params), sequence),
         ["instance_id", "inst_perf_param_id"],
         ["cumulative_perf_value"],
         cluster=["instance_id", "_family"],
         chunk_days=chunk_days,
     )
-    current, previous = F.col("cumulative_perf_value"), F.coalesce("prev_cumulative_perf_value", F.lit(0))
-    first, kind = F.col("first_measure"), F.col("counter_type")
-    gained = F.when(first, current).otherwise(_gain(current, previous, on_reset))
-    value = (
-        F.when(first, current)
-        .when(kind == RATE, ratio("_gained", "interval_s", strict=strict))
-        .when(kind.isin(*DIFFERENCED), F.col("_gained"))
-        .otherwise(current)
-    )
-    divisor_source = F.col("_gained") if base == "interval" else F.col("_value")
-    members = Window.partitionBy("instance_id", "_family", "_chunk", "snapshot_date")
-    divisor = F.max(F.when(F.col("_is_base"), divisor_source)).over(members)
-    averaged = ratio("_value", F.when(F.col("_divisor") == 0, F.lit(1)).otherwise(F.coalesce("_divisor", F.lit(1))))
+    gain = "(cumulative_perf_value - coalesce(prev_cumulative_perf_value, 0))"
+    divisor = "_gained" if base == "interval" else "_value"
+    members = "over (partition by instance_id, _family, _chunk, snapshot_date)"
     return (
-        looked_up.withColumn("_gained", gained)
-        .withColumn("_value", value)
-        .withColumn("_divisor", divisor)
-        .withColumn("instance_perf_value", F.when(kind == AVERAGE, averaged).otherwise(F.col("_value")))
-        .where(F.col("instance_perf_value").isNotNull())
-        .withColumn("instance_perf_value", F.col("instance_perf_value").cast("decimal(28,2)"))
-        .withColumnsRenamed({"first_measure": "startup_measure_ind", "interval_s": "measurement_interval_s"})
-        .select(*_SNAP_COLUMNS)
+        looked_up.selectExpr(
+            "*", f"if(first_measure, cumulative_perf_value, {ON_RESET[on_reset].format(gain=gain)}) as _gained"
+        )
+        .selectExpr(
+            "*",
+            f"""case when first_measure then cumulative_perf_value
+                     when counter_type = {RATE} then {ratio_sql("_gained", "interval_s", strict=strict)}
+                     when counter_type in {DIFFERENCED} then _gained
+                     else cumulative_perf_value end as _value""",
+        )
+        .selectExpr("*", f"coalesce(nullif(max(if(_is_base, {divisor}, null)) {members}, 0), 1) as _divisor")
+        .selectExpr(
+            "instance_id",
+            "snapshot_date",
+            "inst_perf_param_id",
+            f"""cast(if(counter_type = {AVERAGE}, {ratio_sql("_value", "_divisor")}, _value) as decimal(28,2))
+                as instance_perf_value""",
+            "cumulative_perf_value",
+            "first_measure as startup_measure_ind",
+            "interval_s as measurement_interval_s",
+        )
+        .where("instance_perf_value is not null")
     )
 
 
@@ -86,35 +86,24 @@ def match_counters(samples: DataFrame, params: DataFrame, *, keep: tuple[str, ..
     ``_family`` groups a counter with its base counter: the parent's id where there is one.  ``keep``
     names further sample columns to pass through.
     """
-    logged = params.where("log_ind").select(
-        name_key("object_nm").alias("object_key"),
-        name_key("counter_nm").alias("counter_key"),
-        name_key("instance_nm").alias("instance_key"),
+    parent = "coalesce(nullif(parent_param_id, 0), inst_perf_param_id)"
+    logged = params.where("log_ind").selectExpr(
+        f"{name_key_sql('object_nm')} as object_key",
+        f"{name_key_sql('counter_nm')} as counter_key",
+        f"{name_key_sql('instance_nm')} as instance_key",
         "inst_perf_param_id",
         "counter_type",
-        F.coalesce(F.nullif("parent_param_id", F.lit(0)), "inst_perf_param_id").alias("_family"),
-        F.coalesce(F.nullif("parent_param_id", F.lit(0)) != F.col("inst_perf_param_id"), F.lit(False)).alias("_linked"),
+        f"{parent} as _family",
+        f"(counter_type = {BASE} and {parent} <> inst_perf_param_id) as _is_base",
     )
-    measured = samples.select(
+    measured = samples.selectExpr(
         "instance_id",
         "snapshot_date",
-        name_key("object_name").alias("object_key"),
-        name_key("counter_name").alias("counter_key"),
-        name_key("instance_name").alias("instance_key"),
-        F.abs("cntr_value").cast("decimal(28,2)").alias("cumulative_perf_value"),
+        f"{name_key_sql('object_name')} as object_key",
+        f"{name_key_sql('counter_name')} as counter_key",
+        f"{name_key_sql('instance_name')} as instance_key",
+        "cast(abs(cntr_value) as decimal(28,2)) as cumulative_perf_value",
         *keep,
     )
-    return (
-        measured.join(logged, ["object_key", "counter_key", "instance_key"])
-        .withColumn("_is_base", F.col("_linked") & (F.col("counter_type") == BASE))
-        .drop("object_key", "counter_key", "instance_key", "_linked")
-    )
-
-
-def _gain(current: Column, previous: Column, on_reset: str) -> Column:
-    gain = current - previous
-    if on_reset == "keep":
-        return gain
-    if on_reset == "null":
-        return F.when(gain >= 0, gain)
-    return F.when(gain >= 0, gain).otherwise(current)
+    keys = ["object_key", "counter_key", "instance_key"]
+    return measured.join(logged, keys).drop(*keys)

@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ..functions.keys import surrogate_id
-from ..functions.text import key_in, literal_key, name_key, object_family
+from ..functions.text import key_in_sql, key_is_sql, literal_key, name_key_sql, object_family_sql, quoted
 from ..sources.constants import (
     AVERAGE,
     BASE,
@@ -29,6 +28,7 @@ _COLUMNS = (
     "parent_param_id",
     "log_ind",
 )
+_NAMES = ("object_nm", "counter_nm", "instance_nm")
 _KEYS = ("object_key", "counter_key", "instance_key")
 
 
@@ -44,14 +44,16 @@ def build_counter_dim(samples: DataFrame, *, with_custom: bool = True, parity: b
     before any shuffle, so the repeated polls of a counter cost one row per task.
     """
     families = [f for f in PER_DATABASE_FAMILIES if not (parity and f == "Broker Activation")]
-    family, instance = object_family("object_key"), F.col("instance_key")
+    per_database = key_in_sql(object_family_sql("object_key"), families)
     kept = (
-        samples.select(
-            *[F.trim(F.col(c)).alias(a) for c, a in zip(("object_name", "counter_name", "instance_name"), _NAMES)],
-            F.col("cntr_type").alias("counter_type"),
+        samples.selectExpr(
+            "trim(object_name) as object_nm",
+            "trim(counter_name) as counter_nm",
+            "trim(instance_name) as instance_nm",
+            "cntr_type as counter_type",
         )
         .transform(_with_keys)
-        .where(~key_in(family, families) | key_in(instance, SUMMARY_INSTANCES))
+        .where(f"not {per_database} or {key_in_sql('instance_key', SUMMARY_INSTANCES)}")
         .groupBy(*_KEYS)
         .agg(*[F.min(c).alias(c) for c in (*_NAMES, "counter_type")])
     )
@@ -63,14 +65,11 @@ def build_counter_dim(samples: DataFrame, *, with_custom: bool = True, parity: b
         surrogate_id(*_KEYS).alias("inst_perf_param_id"),
         *_NAMES,
         "counter_type",
-        F.lit(0).cast("bigint").alias("parent_param_id"),
-        F.lit(False).alias("log_ind"),
+        F.expr("0L as parent_param_id"),
+        F.expr("false as log_ind"),
     )
 
 
-_NAMES = ("object_nm", "counter_nm", "instance_nm")
-
-
 def flag_counters(dim: DataFrame, *, edition_code: int | None = None, rules: Sequence[tuple] = LOG_RULES) -> DataFrame:
     """Turns logging on for counters matched by a rule; a counter already logged stays logged.
 
@@ -78,8 +77,8 @@ def flag_counters(dim: DataFrame, *, edition_code: int | None = None, rules: Seq
     A rule bound to an edition applies only when ``edition_code`` is that edition.
     """
     active = [r for r in rules if r[5] is None or r[5] == edition_code]
-    matched = reduce(lambda a, b: a | b, [_rule(r) for r in active], F.lit(False))
-    return dim.withColumn("log_ind", F.col("log_ind") | matched).select(*_COLUMNS)
+    matched = " or ".join(["log_ind", *[_rule_sql(r) for r in active]])
+    return dim.transform(_with_keys).withColumn("log_ind", F.expr(matched)).select(*_COLUMNS)
 
 
 def link_base_counters(dim: DataFrame, *, parity: bool = False) -> DataFrame:
@@ -91,14 +90,13 @@ def link_base_counters(dim: DataFrame, *, parity: bool = False) -> DataFrame:
     kinds = (RATIO,) if parity else (RATIO, AVERAGE)
     parents = (
         dim.where(F.col("counter_type").isin(*kinds))
-        .select(
-            name_key("object_nm").alias("object_key"),
-            F.concat(F.rtrim(F.replace(name_key("counter_nm"), F.lit(" (ms)"), F.lit(""))), F.lit(" base")).alias(
-                "counter_key"
-            ),
-            name_key("instance_nm").alias("instance_key"),
-            F.lit(BASE).alias("counter_type"),
-            F.col("inst_perf_param_id").alias("_parent"),
+        .transform(_with_keys)
+        .selectExpr(
+            "object_key",
+            "rtrim(replace(counter_key, ' (ms)', '')) || ' base' as counter_key",
+            "instance_key",
+            f"{BASE} as counter_type",
+            "inst_perf_param_id as _parent",
         )
         .groupBy(*_KEYS, "counter_type")
         .agg(F.min("_parent").alias("_parent"))
@@ -124,31 +122,31 @@ def counter_dimension(
 def counter_families(params: DataFrame) -> DataFrame:
     """Logged counter / base pairs: (base_id, base keys, parent_id, parent keys)."""
     logged = params.where("log_ind").transform(_with_keys)
-    base = logged.where("parent_param_id is not null and parent_param_id <> 0").select(
-        F.col("inst_perf_param_id").alias("base_id"),
-        F.col("parent_param_id").alias("parent_id"),
-        F.col("counter_key").alias("base_counter"),
-        F.col("instance_key").alias("base_instance"),
+    base = logged.where("parent_param_id <> 0").selectExpr(
+        "inst_perf_param_id as base_id",
+        "parent_param_id as parent_id",
+        "counter_key as base_counter",
+        "instance_key as base_instance",
     )
-    parent = logged.select(
-        F.col("inst_perf_param_id").alias("parent_id"),
-        F.col("counter_key").alias("parent_counter"),
-        F.col("instance_key").alias("parent_instance"),
+    parent = logged.selectExpr(
+        "inst_perf_param_id as parent_id", "counter_key as parent_counter", "instance_key as parent_instance"
     )
     return base.join(parent, "parent_id")
 
 
 def _with_keys(df: DataFrame) -> DataFrame:
-    return df.withColumns({k: name_key(n) for k, n in zip(_KEYS, _NAMES)})
+    return df.selectExpr("*", *[f"{name_key_sql(n)} as {k}" for k, n in zip(_KEYS, _NAMES)])
 
 
-def _rule(rule: tuple) -> Column:
+def _rule_sql(rule: tuple) -> str:
     object_match, object_name, counter_match, counters, instance, _ = rule
-    object_key, counter_key = name_key("object_nm"), name_key("counter_nm")
-    name = literal_key(object_name)
-    hit = object_key.endswith(name) if object_match == "ends" else object_key.startswith(name)
+    matcher = {"ends": "endswith", "starts": "startswith"}[object_match]
+    hits = [f"{matcher}(object_key, {quoted(literal_key(object_name))})"]
     if counter_match == "is":
-        hit = hit & key_in(counter_key, counters)
+        hits.append(key_in_sql("counter_key", counters))
     else:
-        hit = hit & reduce(lambda a, b: a | b, [counter_key.startswith(literal_key(c)) for c in counters])
-    return hit if instance is None else hit & (name_key("instance_nm") == literal_key(instance))
+        starts = [f"startswith(counter_key, {quoted(literal_key(c))})" for c in counters]
+        hits.append(f"({' or '.join(starts)})")
+    if instance is not None:
+        hits.append(key_is_sql("instance_key", instance))
+    return f"({' and '.join(hits)})"

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from ..functions.time import seconds_between, time_chunk
+from ..functions.time import seconds_between_sql, time_chunk_sql
 from .series import CHUNK_DAYS
 
 SEQUENCE_COLUMNS = ("prev_snapshot", "next_snapshot", "first_measure", "interval_s")
@@ -28,49 +28,44 @@ def snapshot_sequence(
     One row per (instance, snapshot) after a pre-aggregation, so a busy snapshot costs one row.  The
     neighbours are found inside stretches of ``chunk_days``; one edge row per stretch crosses over.
     """
-    points = samples.groupBy("instance_id", "snapshot_date").agg(F.max("instance_started").alias("instance_started"))
-    points = points.withColumn("_chunk", time_chunk("snapshot_date", chunk_days))
-    by_instance = Window.partitionBy("instance_id").orderBy("_chunk")
+    points = (
+        samples.groupBy("instance_id", "snapshot_date")
+        .agg(F.max("instance_started").alias("instance_started"))
+        .selectExpr("*", f"{time_chunk_sql('snapshot_date', chunk_days)} as _chunk")
+    )
+    by_instance = "over (partition by instance_id order by _chunk)"
     edges = (
         points.groupBy("instance_id", "_chunk")
         .agg(
-            F.min("snapshot_date").alias("_first"),
-            F.max(F.struct("snapshot_date", "instance_started")).alias("_last"),
+            F.expr("min(snapshot_date) as _first"),
+            F.expr("max(struct(snapshot_date, instance_started)) as _last"),
         )
-        .select(
-            "instance_id",
-            "_chunk",
-            F.lag("_last").over(by_instance).alias("_before"),
-            F.lead("_first").over(by_instance).alias("_after"),
+        .selectExpr(
+            "instance_id", "_chunk", f"lag(_last) {by_instance} as _before", f"lead(_first) {by_instance} as _after"
         )
     )
-    w = Window.partitionBy("instance_id", "_chunk").orderBy("snapshot_date")
-    sequenced = points.join(edges, ["instance_id", "_chunk"]).select(
+    inside = "over (partition by instance_id, _chunk order by snapshot_date)"
+    sequenced = points.join(edges, ["instance_id", "_chunk"]).selectExpr(
         "instance_id",
         "snapshot_date",
         "instance_started",
-        F.coalesce(F.lag("snapshot_date").over(w), F.col("_before.snapshot_date")).alias("prev_snapshot"),
-        F.coalesce(F.lag("instance_started").over(w), F.col("_before.instance_started")).alias("_prev_started"),
-        F.coalesce(F.lead("snapshot_date").over(w), F.col("_after")).alias("next_snapshot"),
+        f"coalesce(lag(snapshot_date) {inside}, _before.snapshot_date) as prev_snapshot",
+        f"coalesce(lag(instance_started) {inside}, _before.instance_started) as _prev_started",
+        f"coalesce(lead(snapshot_date) {inside}, _after) as next_snapshot",
     )
-    if parity:
-        restarted = F.col("prev_snapshot") < F.col("instance_started")
-    else:
-        restarted = F.col("_prev_started") != F.col("instance_started")
-    first = F.col("prev_snapshot").isNull() | restarted
+    restarted = "prev_snapshot < instance_started" if parity else "_prev_started <> instance_started"
+    first = f"prev_snapshot is null or {restarted}"
     if forced is not None:
-        marks = forced.select("instance_id", "snapshot_date", F.lit(True).alias("_forced")).distinct()
+        marks = forced.selectExpr("instance_id", "snapshot_date", "true as _forced").distinct()
         sequenced = sequenced.join(marks, ["instance_id", "snapshot_date"], "left")
-        first = first | F.coalesce(F.col("_forced"), F.lit(False))
-    start = F.when(F.col("first_measure"), F.col("instance_started")).otherwise(F.col("prev_snapshot"))
-    return sequenced.withColumn("first_measure", first).select(
+        first = f"{first} or coalesce(_forced, false)"
+    since = "if(first_measure, instance_started, prev_snapshot)"
+    return sequenced.selectExpr("*", f"({first}) as first_measure").selectExpr(
         "instance_id",
         "snapshot_date",
         "instance_started",
-        "prev_snapshot",
-        "next_snapshot",
-        "first_measure",
-        seconds_between(start, "snapshot_date").cast("int").alias("interval_s"),
+        *SEQUENCE_COLUMNS[:-1],
+        f"{seconds_between_sql(since, 'snapshot_date')} as interval_s",
     )
 
 

@@ -9,9 +9,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame
 
-from ..functions.time import time_chunk
+from ..functions.time import time_chunk_sql
 
 CHUNK_DAYS = 7
 
@@ -20,31 +20,32 @@ def running_max_before(
     df: DataFrame,
     keys: Sequence[str],
     order: str,
-    value: Column,
+    value: str,
     out: str,
     *,
     chunk_days: int = CHUNK_DAYS,
 ) -> DataFrame:
-    """Largest ``value`` (a struct compares field by field) over all earlier rows of the series.
+    """Largest ``value`` (expression text; a struct compares field by field) over all earlier rows of
+    the series.
 
     NULL on the first row.  Two levels: the maximum of each stretch is carried forward over the
     stretches (one row each), then combined with the running maximum inside the stretch.  The rows
     are shuffled once, by (keys, stretch); the carried side joins on the same columns.
     """
-    keys = list(keys)
-    rows = df.withColumn("_value", value).withColumn("_chunk", time_chunk(order, chunk_days))
-    stretch = [*keys, "_chunk"]
-    over_stretches = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    rows = df.selectExpr("*", f"{value} as _value", f"{time_chunk_sql(order, chunk_days)} as _chunk")
+    stretch, series = ", ".join([*keys, "_chunk"]), ", ".join(keys)
+    earlier = "rows between unbounded preceding and 1 preceding"
     carried = (
-        rows.groupBy(*stretch)
-        .agg(F.max("_value").alias("_stretch_max"))
-        .withColumn("_carried", F.max("_stretch_max").over(over_stretches))
-        .drop("_stretch_max")
+        rows.groupBy(*keys, "_chunk")
+        .agg({"_value": "max"})
+        .selectExpr(
+            *keys, "_chunk", f"max(`max(_value)`) over (partition by {series} order by _chunk {earlier}) as _carried"
+        )
     )
-    inside = Window.partitionBy(*stretch).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    inside = f"max(_value) over (partition by {stretch} order by {order} {earlier})"
     return (
-        rows.join(carried, stretch)
-        .withColumn(out, F.greatest(F.col("_carried"), F.max("_value").over(inside)))
+        rows.join(carried, [*keys, "_chunk"])
+        .selectExpr("*", f"greatest(_carried, {inside}) as {out}")
         .drop("_value", "_chunk", "_carried")
     )
 
@@ -67,14 +68,12 @@ def with_previous_snapshot(
     Rows of the result stay clustered by (cluster, ``_chunk``); callers may reuse that before
     dropping ``_chunk``.
     """
-    keys, cluster = list(keys), list(cluster or keys)
-    home = time_chunk("snapshot_date", chunk_days)
-    following = time_chunk("next_snapshot", chunk_days)
-    placed = df.withColumn(
-        "_chunk",
-        F.explode(F.when(following > home, F.array(home, following)).otherwise(F.array(home))),
+    cluster = list(cluster or keys)
+    home, following = time_chunk_sql("snapshot_date", chunk_days), time_chunk_sql("next_snapshot", chunk_days)
+    placed = df.selectExpr(
+        "*", f"explode(if({following} > {home}, array({home}, {following}), array({home}))) as _chunk"
     ).repartition(*cluster, "_chunk")
-    w = Window.partitionBy(*dict.fromkeys([*cluster, *keys]), "_chunk").orderBy("snapshot_date")
-    adjacent = F.lag("snapshot_date").over(w) == F.col("prev_snapshot")
-    looked_up = placed.select("*", *[F.when(adjacent, F.lag(v).over(w)).alias(f"prev_{v}") for v in values])
-    return looked_up.where(F.col("_chunk") == home)
+    over = f"over (partition by {', '.join(dict.fromkeys([*cluster, *keys]))}, _chunk order by snapshot_date)"
+    adjacent = f"lag(snapshot_date) {over} = prev_snapshot"
+    looked_up = placed.selectExpr("*", *[f"if({adjacent}, lag({v}) {over}, null) as prev_{v}" for v in values])
+    return looked_up.where(f"_chunk = {home}")

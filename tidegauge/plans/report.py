@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ..functions.numeric import percent
-from ..functions.text import name_key
+from ..functions.text import key_is_sql, name_key_sql
 from ..functions.time import report_window
-from ..operators.waits import with_wait_averages
+from ..operators.waits import with_interval_averages
 from ..sources.constants import REPORT_COLUMNS
 from ..sources.readers import between_snapshots
 from .views import BY, memory_snapshot, snapshot_pivots, summary_ratio, throughput, waittime_snapshot
@@ -41,9 +41,9 @@ def wait_share(waits: DataFrame, *, strict: bool = False) -> DataFrame:
     snapshot without signal time has NULL shares.  One shuffle, by snapshot: the sums per type and
     the snapshot totals use the same partitioning, and a snapshot holds about a thousand types.
     """
-    snapshot = Window.partitionBy(*BY)
+    snapshot = "over (partition by instance_id, snapshot_date)"
     summed = (
-        with_wait_averages(waits)
+        with_interval_averages(waits)
         .repartition(*BY)
         .groupBy(*BY, "wait_type")
         .agg(
@@ -52,11 +52,11 @@ def wait_share(waits: DataFrame, *, strict: bool = False) -> DataFrame:
             F.max("wait_time_request_average").alias("wait_time_request_average"),
             F.max("signal_wait_time_request_average").alias("signal_wait_time_request_average"),
         )
-        .withColumns({"_all_wait": F.sum("_wait").over(snapshot), "_all_signal": F.sum("_signal").over(snapshot)})
-        .where(F.col("_wait") > 0)
+        .selectExpr("*", f"sum(_wait) {snapshot} as _all_wait", f"sum(_signal) {snapshot} as _all_signal")
+        .where("_wait > 0")
     )
-    signal_total = F.when(F.col("_all_signal") > 0, F.col("_all_signal"))
-    wait_pct, signal_pct = percent("_wait", "_all_wait", strict=strict), percent("_signal", signal_total)
+    wait_pct = percent("_wait", "_all_wait", strict=strict)
+    signal_pct = percent("_signal", "if(_all_signal > 0, _all_signal, null)")
     if strict:
         wait_pct, signal_pct = wait_pct.cast("decimal(5,2)"), signal_pct.cast("decimal(5,2)")
     return summed.select(
@@ -78,7 +78,7 @@ def wait_share_report(waits: DataFrame, *, strict: bool = False) -> DataFrame:
 
 def io_summary(filestats: DataFrame, file_type: str | None = None) -> DataFrame:
     """Reads, writes and stall time per database, over all files or one kind (``rows``, ``log``)."""
-    rows = filestats if file_type is None else filestats.where(name_key("db_file_type") == file_type.lower())
+    rows = filestats if file_type is None else filestats.where(key_is_sql(name_key_sql("db_file_type"), file_type))
     return rows.groupBy("instance_id", "database_name").agg(
         F.sum("num_of_reads").alias("total_reads"),
         F.sum("num_of_writes").alias("total_writes"),

@@ -6,15 +6,13 @@ dimension.  Names are compared by key, so case and trailing blanks do not matter
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.labels import wait_category
-from ..functions.numeric import kb_to_gb, percent
-from ..functions.text import key_in, key_is, literal_key, name_key
+from ..functions.numeric import kb_to_gb_sql, percent_sql
+from ..functions.text import key_in_sql, key_is_sql, literal_key, name_key_sql, quoted
 from ..operators.dimension import counter_families
-from ..operators.waits import drop_innocuous, with_wait_averages
+from ..operators.waits import drop_innocuous, with_interval_averages
 from ..sources.constants import (
     MEMORY_GB_COLUMNS,
     MEMORY_INSTANCES,
@@ -32,6 +30,14 @@ BY = ("instance_id", "snapshot_date")
 _VALUE = "instance_perf_value"
 
 
+def _ends_with_any(key: str, names: tuple[str, ...]) -> str:
+    return "(" + " or ".join(f"endswith({key}, {quoted(literal_key(n))})" for n in names) + ")"
+
+
+_IS_MEMORY = f"{_ends_with_any('object_key', MEMORY_OBJECTS)} and {key_in_sql('instance_key', MEMORY_INSTANCES)}"
+_IS_WAIT_TIME = _ends_with_any("object_key", (WAIT_TIME_OBJECT,))
+
+
 def throughput(snaps: DataFrame, params: DataFrame) -> DataFrame:
     """Fourteen throughput counters side by side."""
     return _facts(snaps, params).groupBy(*BY).agg(*_throughput_columns())
@@ -39,12 +45,12 @@ def throughput(snaps: DataFrame, params: DataFrame) -> DataFrame:
 
 def memory_snapshot(snaps: DataFrame, params: DataFrame, *, strict: bool = False) -> DataFrame:
     """Memory figures in GB, and page life expectancy.  ``strict`` raises from 1000 GB on."""
-    return _facts(snaps, params).where(_is_memory()).groupBy(*BY).agg(*_memory_columns(strict))
+    return _facts(snaps, params).where(_IS_MEMORY).groupBy(*BY).agg(*_memory_columns(strict))
 
 
 def waittime_snapshot(snaps: DataFrame, params: DataFrame) -> DataFrame:
     """Average wait times in ms of nine wait classes."""
-    return _facts(snaps, params).where(_is_wait_time()).groupBy(*BY).agg(*_wait_time_columns())
+    return _facts(snaps, params).where(_IS_WAIT_TIME).groupBy(*BY).agg(*_wait_time_columns())
 
 
 def snapshot_pivots(snaps: DataFrame, params: DataFrame, *, strict: bool = False) -> DataFrame:
@@ -57,10 +63,10 @@ def snapshot_pivots(snaps: DataFrame, params: DataFrame, *, strict: bool = False
         .groupBy(*BY)
         .agg(
             *_throughput_columns(),
-            *_memory_columns(strict, _is_memory()),
-            *_wait_time_columns(_is_wait_time()),
-            F.bool_or(_is_memory()).alias("_memory"),
-            F.bool_or(_is_wait_time()).alias("_wait_time"),
+            *_memory_columns(strict, _IS_MEMORY),
+            *_wait_time_columns(_IS_WAIT_TIME),
+            F.expr(f"bool_or({_IS_MEMORY}) as _memory"),
+            F.expr(f"bool_or({_IS_WAIT_TIME}) as _wait_time"),
         )
         .where("_memory and _wait_time")
         .drop("_memory", "_wait_time")
@@ -73,33 +79,35 @@ def summary_ratio(snaps: DataFrame, params: DataFrame, *, parity: bool = False,
     A ratio needs both values in the snapshot; it is NULL when either is missing or the base is 0.
     ``parity`` uses -1 for a missing value, so an unmonitored ratio reads 100.  Startup rows count.
 
-    Pairs are formed by regrouping facts under their parent's id, not by joining facts to facts.
+    Pairs are formed by regrouping facts under their base's id, not by joining facts to facts.
     """
     families = counter_families(params)
     names = ["parent_counter", "parent_instance", "base_counter", "base_instance"]
-    members = families.select(F.col("base_id").alias("inst_perf_param_id"), "base_id", F.lit(True).alias("_is_base"), *names).unionByName(
-        families.select(F.col("parent_id").alias("inst_perf_param_id"), "base_id", F.lit(False).alias("_is_base"), *names)
+    members = families.selectExpr(
+        "inline(array(struct(base_id as inst_perf_param_id, true as is_base),"
+        " struct(parent_id as inst_perf_param_id, false as is_base)))",
+        "base_id",
+        *names,
     )
     pairs = (
         snaps.select(*BY, "inst_perf_param_id", _VALUE)
         .join(members, "inst_perf_param_id")
         .groupBy(*BY, "base_id", *names)
         .agg(
-            F.max(F.when(F.col("_is_base"), F.col(_VALUE))).alias("_base"),
-            F.max(F.when(~F.col("_is_base"), F.col(_VALUE))).alias("_part"),
+            F.expr(f"max(if(is_base, {_VALUE}, null)) as base"),
+            F.expr(f"max(if(is_base, null, {_VALUE})) as part"),
         )
-        .where("_base is not null and _part is not null")
+        .where("base is not null and part is not null")
     )
     ratios = []
     for column, parent, base, instance in RATIO_COLUMNS:
-        is_part = key_is("parent_counter", parent) & key_is("parent_instance", instance)
-        is_base = key_is("base_counter", base) & key_is("base_instance", instance)
-        part, divisor = F.when(is_part, F.col("_part")), F.when(is_base & (F.col("_base") != 0), F.col("_base"))
+        of_parent = f"{key_is_sql('parent_counter', parent)} and {key_is_sql('parent_instance', instance)}"
+        of_base = f"{key_is_sql('base_counter', base)} and {key_is_sql('base_instance', instance)}"
+        part, divisor = f"if({of_parent}, part, null)", f"if({of_base} and base <> 0, base, null)"
         if parity:
-            missing = F.lit(-1).cast("decimal(28,2)")
-            part, divisor = F.coalesce(part, missing), F.coalesce(divisor, missing)
-        value = percent(F.max(part), F.max(divisor))
-        ratios.append((value.cast("decimal(5,2)") if strict else value).alias(column))
+            part, divisor = f"coalesce({part}, -1)", f"coalesce({divisor}, -1)"
+        value = percent_sql(f"max({part})", f"max({divisor})")
+        ratios.append(F.expr(f"{_narrow(value) if strict else value} as {column}"))
     return pairs.groupBy(*BY).agg(*ratios)
 
 
@@ -114,67 +122,49 @@ def wait_categories(
     columns = ["instance_id", "snapshot_date", "wait_type", "wait_requests", "wait_time", "signal_wait_time"]
 
     def legs(df: DataFrame) -> DataFrame:
-        kept = drop_innocuous(df, exclude=exclude, parity=parity)
-        return kept.where(~F.col("first_measure_from_start")).select(*columns)
+        return drop_innocuous(df, exclude=exclude, parity=parity).where("not first_measure_from_start").select(*columns)
 
     rows = legs(current) if history is None else legs(current).unionByName(legs(history))
-    shown = with_wait_averages_of_interval(rows.distinct())
     return (
-        shown.where(F.col("wait_time_request_average") > 1)
-        .where(~key_is(name_key("wait_type"), UNCATEGORISED_WAIT))
+        with_interval_averages(rows.distinct())
+        .where(f"wait_time_request_average > 1 and not {key_is_sql(name_key_sql('wait_type'), UNCATEGORISED_WAIT)}")
         .withColumn("wait_category", wait_category("wait_type"))
     )
 
 
-def with_wait_averages_of_interval(df: DataFrame) -> DataFrame:
-    """The two interval averages, for rows without cumulative columns."""
-    filled = df.withColumns({"cumulative_wait_time": F.col("wait_time"), "cumulative_wait_requests": F.col("wait_requests")})
-    return with_wait_averages(filled).drop(
-        "cumulative_wait_time", "cumulative_wait_requests", "cumulative_wait_time_request_average"
-    )
-
-
 def _facts(snaps: DataFrame, params: DataFrame) -> DataFrame:
-    names = params.select(
+    names = params.selectExpr(
         "inst_perf_param_id",
-        name_key("object_nm").alias("object_key"),
-        name_key("counter_nm").alias("counter_key"),
-        name_key("instance_nm").alias("instance_key"),
+        f"{name_key_sql('object_nm')} as object_key",
+        f"{name_key_sql('counter_nm')} as counter_key",
+        f"{name_key_sql('instance_nm')} as instance_key",
     )
-    return snaps.where(~F.col("startup_measure_ind")).select(*BY, "inst_perf_param_id", _VALUE).join(names, "inst_perf_param_id")
+    measured = snaps.where("not startup_measure_ind").select(*BY, "inst_perf_param_id", _VALUE)
+    return measured.join(names, "inst_perf_param_id")
 
 
-def _pick(column: str, hit: Column, value: Column) -> Column:
-    return F.max(F.when(hit, value)).alias(column)
+def _pick(column: str, value: str, *conditions: str | None) -> Column:
+    return F.expr(f"max(if({' and '.join(c for c in conditions if c)}, {value}, null)) as {column}")
 
 
 def _throughput_columns() -> list[Column]:
-    picked = []
-    for column, counter, instance in THROUGHPUT_COLUMNS:
-        hit = key_is("counter_key", counter)
-        picked.append(_pick(column, hit if instance is None else hit & key_is("instance_key", instance), F.col(_VALUE)))
-    return picked
-
-
-def _memory_columns(strict: bool, scope: Column | None = None) -> list[Column]:
-    gb = kb_to_gb(_VALUE).cast("decimal(5,2)") if strict else kb_to_gb(_VALUE)
-    wanted = [(c, n, gb) for c, n in MEMORY_GB_COLUMNS] + [(*PAGE_LIFE_COLUMN, F.col(_VALUE))]
-    return [_pick(c, _within(key_is("counter_key", n), scope), value) for c, n, value in wanted]
-
-
-def _wait_time_columns(scope: Column | None = None) -> list[Column]:
-    instance = key_is("instance_key", WAIT_TIME_INSTANCE)
-    return [_pick(c, _within(key_is("counter_key", n) & instance, scope), F.col(_VALUE)) for c, n in WAIT_TIME_COLUMNS]
+    return [
+        _pick(column, _VALUE, key_is_sql("counter_key", counter), instance and key_is_sql("instance_key", instance))
+        for column, counter, instance in THROUGHPUT_COLUMNS
+    ]
 
 
-def _within(hit: Column, scope: Column | None) -> Column:
-    return hit if scope is None else hit & scope
+def _memory_columns(strict: bool, scope: str | None = None) -> list[Column]:
+    gb = _narrow(kb_to_gb_sql(_VALUE)) if strict else kb_to_gb_sql(_VALUE)
+    wanted = [(column, gb, counter) for column, counter in MEMORY_GB_COLUMNS]
+    wanted.append((PAGE_LIFE_COLUMN[0], _VALUE, PAGE_LIFE_COLUMN[1]))
+    return [_pick(column, value, key_is_sql("counter_key", counter), scope) for column, value, counter in wanted]
 
 
-def _is_memory() -> Column:
-    objects = [F.col("object_key").endswith(literal_key(o)) for o in MEMORY_OBJECTS]
-    return reduce(lambda a, b: a | b, objects) & key_in("instance_key", MEMORY_INSTANCES)
+def _wait_time_columns(scope: str | None = None) -> list[Column]:
+    instance = key_is_sql("instance_key", WAIT_TIME_INSTANCE)
+    return [_pick(c, _VALUE, key_is_sql("counter_key", n), instance, scope) for c, n in WAIT_TIME_COLUMNS]
 
 
-def _is_wait_time() -> Column:
-    return F.col("object_key").endswith(literal_key(WAIT_TIME_OBJECT))
+def _narrow(value: str) -> str:
+    return f"cast({value} as decimal(5,2))"

@@ -30,16 +30,14 @@ OUTPUT = T.StructType([*PERF_SNAP.fields, T.StructField("late_samples", T.LongTy
 _CENT = Decimal("0.01")
 
 
-def counter_delta_stream(
-    samples: DataFrame, params: DataFrame, *, late_after: str = "10 minutes", base: str = "interval"
-) -> DataFrame:
+def counter_delta_stream(samples: DataFrame, params: DataFrame, *, base: str = "interval") -> DataFrame:
     """``counter_delta`` over a stream: append-mode ``perf_snap`` rows plus ``late_samples``.
 
     Each sample is compared with the family's last one, wherever in the stream that was; a family
     without state starts with a first measure.  Samples at or before the family's last snapshot are
     not used, and counted in ``late_samples`` (total so far of the family).
     """
-    keyed = _matched(samples.withWatermark("snapshot_date", late_after), params)
+    keyed = _matched(samples, params)
 
     def advance(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         rows = pd.concat(list(batches), ignore_index=True)

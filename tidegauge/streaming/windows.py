@@ -1,4 +1,8 @@
-"""Windowed reports and the deduplicated resource archive over streams."""
+"""Windowed reports and the deduplicated resource archive over streams.
+
+Watermarks need an instant, samples carry wall-clock times: they are read in the session zone, and
+window bounds are given back as wall-clock times.
+"""
 
 from __future__ import annotations
 
@@ -22,14 +26,15 @@ def windowed_report(
     Tumbling by default; ``slide="5 minutes"`` gives the last half hour at every poll.  Grouping is by
     window and key with partial aggregation before the shuffle, so a busy key costs little.
     """
-    window = F.window(time, length, slide) if slide else F.window(time, length)
+    window = F.window("_at", length, slide) if slide else F.window("_at", length)
     return (
-        rows.withWatermark(time, late_after)
+        rows.withColumn("_at", F.col(time).cast("timestamp"))
+        .withWatermark("_at", late_after)
         .groupBy(window.alias("_window"), *keys)
         .agg(*[c.alias(n) for n, c in measures.items()])
         .select(
-            F.col("_window.start").alias("window_start"),
-            F.col("_window.end").alias("window_end"),
+            F.col("_window.start").cast("timestamp_ntz").alias("window_start"),
+            F.col("_window.end").cast("timestamp_ntz").alias("window_end"),
             *keys,
             *measures,
         )
@@ -38,4 +43,5 @@ def windowed_report(
 
 def dedup_resources(rows: DataFrame, keys: Sequence[str], *, time: str = "end_time", late_after: str = "1 hour") -> DataFrame:
     """First row per key within the watermark, for appending to the resource archive."""
-    return rows.withWatermark(time, late_after).dropDuplicatesWithinWatermark(list(keys))
+    timed = rows.withColumn("_at", F.col(time).cast("timestamp")).withWatermark("_at", late_after)
+    return timed.dropDuplicatesWithinWatermark(list(keys)).drop("_at")

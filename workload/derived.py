@@ -7,13 +7,15 @@ derivation in SQL.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from collections.abc import Sequence
 
+from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec, functions as F
+
+from tidegauge.functions.text import quoted
 from tidegauge.schemas import IO_MEASURES
 from tidegauge.sources.constants import AVERAGE, BASE, CUSTOM, RATE, RATIO
 
 GAUGE = 65792
-EVENT_TYPES = ("click", "view", "purchase", "signup", "error")
 
 # (event type, event_id % 3) -> wait type; the third of each kind is an ignorable one
 WAITS = (
@@ -106,45 +108,50 @@ def _started() -> Column:
 
 
 
-def _since_start(names: list[str]) -> list[Column]:
-    run = Window.partitionBy("instance_id", "instance_started").orderBy("snapshot_date")
-    return [F.sum(n).over(run).alias(n) for n in names]
+def _since_start(*series: str) -> WindowSpec:
+    return Window.partitionBy("instance_id", "instance_started", *series).orderBy("snapshot_date")
+
+
+def _constant_rows(names: Sequence[str], rows: Sequence[tuple]) -> Column:
+    """Each input row once per constant row, whose values become columns."""
+
+    def sql(value) -> str:
+        return quoted(value) if isinstance(value, str) else str(value).lower()
+
+    structs = ", ".join(f"struct({', '.join(f'{sql(v)} as {n}' for n, v in zip(names, row))})" for row in rows)
+    return F.expr(f"inline(array({structs}))")
 
 
 def raw_waits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cumulative waits: every wait type at every slot in which the instance was seen."""
+    """Cumulative waits: every wait type at every slot in which the instance was seen.
+
+    Events are aggregated per slot and kind first; a slot then holds at most fifteen cells.
+    """
     cells = (
         _slots(table(spark, sf_dir, "events"))
-        .groupBy("instance_id", "snapshot_date", "event_type", "k")
-        .agg(
-            F.count("*").alias("n"),
-            F.sum("cents").alias("cents"),
-            F.sum(F.col("cents") % 100).alias("signal"),
-        )
+        .groupBy("instance_id", "snapshot_date", F.concat_ws("/", "event_type", "k").alias("kind"))
+        .agg(F.struct(F.count("*"), F.sum("cents"), F.sum(F.col("cents") % 100)).alias("cell"))
     )
-    measures = {
-        f"{m}_{i}": F.coalesce(
-            F.sum(F.when((F.col("event_type") == event) & (F.col("k") == k), F.col(m))), F.lit(0)
-        )
-        for i, (event, k, _) in enumerate(WAITS)
-        for m in ("n", "cents", "signal")
-    }
-    slots = (
+    kinds = _constant_rows(("kind", "wait_type"), [(f"{e}/{k}", w) for e, k, w in WAITS])
+    none = F.lit(0).cast("bigint")
+    dense = (
         cells.groupBy("instance_id", "snapshot_date")
-        .agg(*[c.alias(n) for n, c in measures.items()])
-        .withColumn("instance_started", _started())
-        .select("instance_id", "snapshot_date", "instance_started", *_since_start(list(measures)))
+        .agg(F.map_from_entries(F.collect_list(F.struct("kind", "cell"))).alias("cells"))
+        .select("instance_id", "snapshot_date", _started().alias("instance_started"), "cells", kinds)
+        .withColumn("cell", F.col("cells")[F.col("kind")])
+    )
+    totals = {
+        f"_{i}": F.sum(F.coalesce(F.col(f"cell.col{i}"), none)).over(_since_start("wait_type")) for i in (1, 2, 3)
+    }
+    return dense.select(
+        "instance_id",
+        "snapshot_date",
+        "instance_started",
+        "wait_type",
+        totals["_1"].alias("waiting_tasks_count"),
+        totals["_2"].alias("wait_time_ms"),
+        totals["_3"].alias("signal_wait_time_ms"),
     )
-    rows = [
-        F.struct(
-            F.lit(wait_type).alias("wait_type"),
-            F.col(f"n_{i}").alias("waiting_tasks_count"),
-            F.col(f"cents_{i}").alias("wait_time_ms"),
-            F.col(f"signal_{i}").alias("signal_wait_time_ms"),
-        )
-        for i, (_, _, wait_type) in enumerate(WAITS)
-    ]
-    return slots.select("instance_id", "snapshot_date", "instance_started", F.inline(F.array(*rows)))
 
 
 def raw_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -153,36 +160,39 @@ def raw_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     cells = (
         _slots(table(spark, sf_dir, "events"))
         .groupBy("instance_id", "snapshot_date", "event_type")
-        .agg(F.count("*").alias("n"), F.sum("cents").alias("c"))
+        .agg(F.struct(F.count("*").alias("n"), F.sum("cents").alias("c")).alias("cell"))
     )
-    gauges = {
-        f"g{m}_{t}": F.coalesce(F.sum(F.when(F.col("event_type") == t, F.col(m))), F.lit(0))
-        for t in EVENT_TYPES
-        for m in ("n", "c")
-    }
-    totals = [F.col(g).alias("c" + g[1:]) for g in gauges]
-    slots = (
+    names = ("event", "object", "counter_name", "instance_name", "cntr_type", "measure", "sparse")
+    counters = _constant_rows(names, (*COUNTERS, CUSTOM_SAMPLE))
+    cloud, custom = F.col("instance_id") % 4 == 0, F.col("cntr_type") == CUSTOM
+    dense = (
         cells.groupBy("instance_id", "snapshot_date")
-        .agg(*[c.alias(n) for n, c in gauges.items()])
-        .withColumn("instance_started", _started())
-        .select("*", *totals)
-        .select("instance_id", "snapshot_date", "instance_started", *gauges, *_since_start(["c" + g[1:] for g in gauges]))
+        .agg(F.map_from_entries(F.collect_list(F.struct("event_type", "cell"))).alias("cells"))
+        .select("instance_id", "snapshot_date", _started().alias("instance_started"), "cells", counters)
+        .withColumn("cell", F.col("cells")[F.col("event")])
+        .withColumns({m: F.coalesce(F.col(f"cell.{m}"), F.lit(0).cast("bigint")) for m in ("n", "c")})
     )
-    cloud = F.col("instance_id") % 4 == 0
-    prefix = F.when(cloud, "MSSQL$A1:").otherwise("SQLServer:")
-    rows = [
-        F.struct(
-            (F.lit(obj) if kind == CUSTOM else F.concat(prefix, F.lit(obj))).alias("object_name"),
-            F.lit(counter).alias("counter_name"),
-            F.lit(instance).alias("instance_name"),
-            F.col(f"{measure}_{event}").alias("cntr_value"),
-            F.lit(kind).alias("cntr_type"),
-            (~cloud if kind == CUSTOM else F.col(f"gn_{event}") > 0 if sparse else F.lit(True)).alias("_listed"),
+    run = _since_start("object", "counter_name", "instance_name")
+    return (
+        dense.withColumns({"total_n": F.sum("n").over(run), "total_c": F.sum("c").over(run)})
+        .where((~F.col("sparse") | (F.col("n") > 0)) & ~(custom & cloud))
+        .select(
+            "instance_id",
+            "snapshot_date",
+            "instance_started",
+            F.when(custom, F.col("object"))
+            .otherwise(F.concat(F.when(cloud, "MSSQL$A1:").otherwise("SQLServer:"), "object"))
+            .alias("object_name"),
+            "counter_name",
+            "instance_name",
+            F.when(F.col("measure") == "cn", F.col("total_n"))
+            .when(F.col("measure") == "cc", F.col("total_c"))
+            .when(F.col("measure") == "gn", F.col("n"))
+            .otherwise(F.col("c"))
+            .alias("cntr_value"),
+            "cntr_type",
         )
-        for event, obj, counter, instance, kind, measure, sparse in (*COUNTERS, CUSTOM_SAMPLE)
-    ]
-    listed = slots.select("instance_id", "snapshot_date", "instance_started", F.inline(F.array(*rows)))
-    return listed.where("_listed").drop("_listed")
+    )
 
 
 def raw_io(spark: SparkSession, sf_dir: str) -> DataFrame:

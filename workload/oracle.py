@@ -351,10 +351,10 @@ _CTES["reset_waits"] = (
     ("raw_waits",),
     f"""
   SELECT * EXCLUDE (instance_started),
-         CASE WHEN snapshot_date >= at AND instance_started < at AND seen THEN at ELSE instance_started END
+         CASE WHEN snapshot_date >= forced_at AND instance_started < forced_at AND seen THEN forced_at ELSE instance_started END
            AS instance_started
   FROM (
-    SELECT w.*, TIMESTAMP '2024-01-20 08:00:00' AS at,
+    SELECT w.*, TIMESTAMP '2024-01-20 08:00:00' AS forced_at,
            BOOL_OR(snapshot_date = TIMESTAMP '2024-01-20 08:00:00' AND req > 0)
              OVER (PARTITION BY instance_id, instance_started, wait_type) AS seen
     FROM raw_waits w

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import tidegauge as tg
 from tidegauge.functions.keys import row_hash
@@ -36,42 +36,59 @@ DRIVE_THRESHOLD = 20
 STREAM_CUTS = ("2024-01-09 00:00:00", "2024-01-16 12:00:00", "2024-01-23 00:00:00")
 
 
-def hundredths(c: str, name: str | None = None) -> Column:
-    return (F.col(c) * 100).cast("bigint").alias(name or c)
+def hundredths(c: str) -> str:
+    return f"cast({c} * 100 as bigint) as {c}"
 
 
-def thousandths(c: str) -> Column:
-    return (F.col(c) * 1000).cast("bigint").alias(c)
+def thousandths(c: str) -> str:
+    return f"cast({c} * 1000 as bigint) as {c}"
 
 
-def whole(c: str) -> Column:
-    return F.col(c).cast("bigint").alias(c)
+def whole(c: str) -> str:
+    return f"cast({c} as bigint) as {c}"
+
+
+def _pivot_columns(df: DataFrame) -> DataFrame:
+    return df.selectExpr(*BY, *[hundredths(c) for c in df.columns if c not in BY])
 
 
 # ---- shared inputs ---------------------------------------------------------------------------
 
 
-def _params(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tg.counter_dimension(derived.raw_counters(spark, sf_dir))
+def _counters(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Counter samples and their dimension.  Samples feed several consumers, so they are written once."""
+    samples = staged(spark, derived.raw_counters(spark, sf_dir), "counters")
+    return samples, tg.counter_dimension(samples)
 
 
-def _snaps(spark: SparkSession, sf_dir: str, *types: int, **options) -> DataFrame:
-    params = _params(spark, sf_dir)
+def _snaps(spark: SparkSession, sf_dir: str, *types: int) -> DataFrame:
+    samples, params = _counters(spark, sf_dir)
     if types:
         params = params.where(F.col("counter_type").isin(*types))
-    return tg.counter_delta(derived.raw_counters(spark, sf_dir), params, **options)
+    return tg.counter_delta(samples, params)
+
+
+def _facts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """``perf_snap`` and the counter dimension, as stored tables."""
+    samples, params = _counters(spark, sf_dir)
+    params = staged(spark, params, "counter_dimension")
+    return staged(spark, tg.counter_delta(samples, params), "perf_snap"), params
+
+
+def _wait_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return staged(spark, derived.raw_waits(spark, sf_dir), "waits")
 
 
 def _waits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tg.wait_delta(derived.raw_waits(spark, sf_dir))
+    return tg.wait_delta(_wait_samples(spark, sf_dir))
 
 
 def _files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tg.io_delta(derived.raw_io(spark, sf_dir))
+    return tg.io_delta(staged(spark, derived.raw_io(spark, sf_dir), "io"))
 
 
 def _snap_columns(df: DataFrame) -> DataFrame:
-    return df.select(
+    return df.selectExpr(
         *BY,
         "inst_perf_param_id",
         hundredths("instance_perf_value"),
@@ -82,7 +99,7 @@ def _snap_columns(df: DataFrame) -> DataFrame:
 
 
 def _wait_columns(df: DataFrame, *more) -> DataFrame:
-    return df.select(
+    return df.selectExpr(
         *BY,
         "wait_type",
         whole("wait_requests"),
@@ -121,10 +138,9 @@ def counter_gauge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _averages(spark: SparkSession, sf_dir: str, base: str) -> DataFrame:
-    params = _params(spark, sf_dir).withColumn(
-        "log_ind", F.col("object_nm").endswith("Latches") & F.col("counter_type").isin(AVERAGE, BASE)
-    )
-    snaps = tg.counter_delta(derived.raw_counters(spark, sf_dir), params, base=base)
+    samples, params = _counters(spark, sf_dir)
+    params = params.withColumn("log_ind", F.expr(f"endswith(object_nm, 'Latches') and counter_type in ({AVERAGE}, {BASE})"))
+    snaps = tg.counter_delta(samples, params, base=base)
     averages = params.where(F.col("counter_type") == AVERAGE).select("inst_perf_param_id")
     return _snap_columns(snaps.join(averages, "inst_perf_param_id", "left_semi"))
 
@@ -155,7 +171,7 @@ def counter_flag_rules_cloud(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def counter_base_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _params(spark, sf_dir)
+    return _counters(spark, sf_dir)[1]
 
 
 # ---- waits --------------------------------------------------------------------------------------
@@ -177,19 +193,19 @@ def wait_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def wait_interval_custom_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ignores the caller's own list: the types that moved in fewer than half of the samples."""
-    samples = derived.raw_waits(spark, sf_dir)
+    samples = _wait_samples(spark, sf_dir)
     quiet = samples.groupBy("wait_type").agg(F.avg((F.col("waiting_tasks_count") < 10).cast("int")).alias("share"))
     return _wait_columns(tg.wait_delta(samples, exclude=quiet.where("share > 0.06").select("wait_type")))
 
 
 def wait_interval_reinitialized(spark: SparkSession, sf_dir: str) -> DataFrame:
-    samples = derived.raw_waits(spark, sf_dir)
+    samples = _wait_samples(spark, sf_dir)
     runs = samples.where(F.col("snapshot_date") == ts(REINITIALIZED_AT)).select(*BY).distinct()
     return _wait_columns(tg.wait_delta(samples, reinitialize=runs))
 
 
 def wait_averages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tg.with_wait_averages(_waits(spark, sf_dir)).select(
+    return tg.with_wait_averages(_waits(spark, sf_dir)).selectExpr(
         *BY,
         "wait_type",
         hundredths("wait_time_request_average"),
@@ -200,9 +216,9 @@ def wait_averages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def wait_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Read between the two steps of an archive move: archived rows are still in current."""
-    current = _waits(spark, sf_dir)
+    current = staged(spark, _waits(spark, sf_dir), "wait_summary")
     _, aged = tg.split_by_age(current, asof=ARCHIVE_ASOF, days=ARCHIVE_DAYS)
-    return tg.wait_categories(current, aged).select(
+    return tg.wait_categories(current, aged).selectExpr(
         *BY,
         "wait_type",
         whole("wait_requests"),
@@ -215,7 +231,7 @@ def wait_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def wait_share_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tg.wait_share_report(_waits(spark, sf_dir)).select(
+    return tg.wait_share_report(_waits(spark, sf_dir)).selectExpr(
         *BY,
         "wait_type",
         hundredths("wait_pct"),
@@ -244,7 +260,7 @@ def io_file_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def io_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _files(spark, sf_dir).select(
+    return _files(spark, sf_dir).selectExpr(
         *BY,
         "database_name",
         "logical_filename",
@@ -269,29 +285,26 @@ def _io_summary(kind: str | None) -> Query:
 
 
 def throughput_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    view = tg.throughput(_snaps(spark, sf_dir), _params(spark, sf_dir))
-    return view.select(*BY, *[hundredths(c) for c in view.columns if c not in BY])
+    return _pivot_columns(tg.throughput(*_facts(spark, sf_dir)))
 
 
 def memory_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    view = tg.memory_snapshot(_snaps(spark, sf_dir), _params(spark, sf_dir))
-    return view.select(*BY, *[hundredths(c) for c in view.columns if c not in BY])
+    return _pivot_columns(tg.memory_snapshot(*_facts(spark, sf_dir)))
 
 
 def waittime_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    view = tg.waittime_snapshot(_snaps(spark, sf_dir), _params(spark, sf_dir))
-    return view.select(*BY, *[hundredths(c) for c in view.columns if c not in BY])
+    return _pivot_columns(tg.waittime_snapshot(*_facts(spark, sf_dir)))
 
 
 def summary_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
-    view = tg.summary_ratio(_snaps(spark, sf_dir), _params(spark, sf_dir))
-    return view.select(*BY, *[hundredths(c) for c in view.columns if c not in BY])
+    return _pivot_columns(tg.summary_ratio(*_facts(spark, sf_dir)))
 
 
 def _report_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    snaps, params = _facts(spark, sf_dir)
     return {
-        "perf_snap": _snaps(spark, sf_dir),
-        "counter_dimension": _params(spark, sf_dir),
+        "perf_snap": snaps,
+        "counter_dimension": params,
         "wait_summary": _waits(spark, sf_dir),
         "filestats": _files(spark, sf_dir),
     }
@@ -300,12 +313,11 @@ def _report_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 def performance_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     results = tg.performance_report(_report_tables(spark, sf_dir), start=REPORT_START, end=REPORT_END)
     report = results["snapshots"]
-    return report.select(*BY, *[hundredths(c) for c in report.columns if c not in BY])
+    return _pivot_columns(report)
 
 
 def performance_report_from_views(spark: SparkSession, sf_dir: str) -> DataFrame:
-    report = snapshot_report_from_views(_snaps(spark, sf_dir), _params(spark, sf_dir))
-    return report.select(*BY, *[hundredths(c) for c in report.columns if c not in BY])
+    return _pivot_columns(snapshot_report_from_views(*_facts(spark, sf_dir)))
 
 
 # ---- configuration, resources -------------------------------------------------------------------
@@ -316,7 +328,7 @@ def _config(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _config_columns(df: DataFrame, *more) -> DataFrame:
-    return df.select(
+    return df.selectExpr(
         *BY,
         "instance_nm",
         "server_nm",
@@ -336,7 +348,8 @@ def config_change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def config_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     hashed = ("instance_nm", "logical_proc_count", "engine_edition")
-    return _config_columns(tg.latest_config(_config(spark, sf_dir)), row_hash(hashed).alias("short_hash"))
+    latest = tg.latest_config(_config(spark, sf_dir)).withColumn("short_hash", row_hash(hashed))
+    return _config_columns(latest, "short_hash")
 
 
 def config_changes_since_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -364,7 +377,7 @@ def config_attributes_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _resource_columns(df: DataFrame) -> DataFrame:
-    return df.select(
+    return df.selectExpr(
         "instance_id", "end_time", hundredths("avg_cpu_percent"), hundredths("avg_data_io_percent"), "dtu_limit"
     )
 
@@ -387,7 +400,7 @@ def resource_new_rows_nullaware(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def file_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
     usage = tg.file_usage(derived.database_files(spark, sf_dir), derived.data_spaces(spark, sf_dir), scope=DB)
-    return usage.select(
+    return usage.selectExpr(
         *[c for c in usage.columns if not c.endswith("_mb")],
         hundredths("db_file_size_in_mb"),
         hundredths("db_file_used_in_mb"),
@@ -396,7 +409,7 @@ def file_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def legacy_file_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
     usage = tg.legacy_file_usage(derived.legacy_files(spark, sf_dir), derived.legacy_groups(spark, sf_dir), scope=DB)
-    return usage.select(
+    return usage.selectExpr(
         *[c for c in usage.columns if not c.endswith("_mb")],
         hundredths("db_file_size_in_mb"),
         hundredths("db_file_used_in_mb"),
@@ -447,7 +460,7 @@ def _table_usage(parity: bool) -> Query:
         )
         usage = tg.table_usage(*relations, scope=DB, parity=parity)
         sizes = [c for c in usage.columns if c.startswith("total_")]
-        return usage.select(*[c for c in usage.columns if c not in sizes], *[thousandths(c) for c in sizes])
+        return usage.selectExpr(*[c for c in usage.columns if c not in sizes], *[thousandths(c) for c in sizes])
 
     return query
 
@@ -460,7 +473,7 @@ def legacy_table_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
         scope=DB,
     )
     sizes = [c for c in usage.columns if c.endswith(("_in_mb", "_in_kb"))]
-    return usage.select(*[c for c in usage.columns if c not in sizes], *[hundredths(c) for c in sizes])
+    return usage.selectExpr(*[c for c in usage.columns if c not in sizes], *[hundredths(c) for c in sizes])
 
 
 def drive_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -478,7 +491,7 @@ def capacity_message(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _drive_columns(df: DataFrame) -> DataFrame:
-    return df.select(
+    return df.selectExpr(
         "instance_id", "drive", "total_size_mb", "free_space_mb", "used_space_mb", hundredths("free_percentage")
     )
 
@@ -488,11 +501,12 @@ def _drive_columns(df: DataFrame) -> DataFrame:
 
 def stream_counter_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All logged counters, as a stream over stored samples."""
-    params = staged(spark, _params(spark, sf_dir), "counter_dimension")
+    stored, params = _counters(spark, sf_dir)
+    params = staged(spark, params, "counter_dimension")
     samples = read_stream_of(
         spark,
-        derived.raw_counters(spark, sf_dir),
-        "raw_counters",
+        stored,
+        "counters",
         time="snapshot_date",
         keys=["instance_id", "object_name", "instance_name"],
         cuts=STREAM_CUTS,
@@ -503,7 +517,7 @@ def stream_counter_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_report_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Closed half-hour windows of event counts and totals."""
     events = read_events_stream(spark, sf_dir)
-    totals = {"events": F.count("*"), "cents": F.sum(F.round(F.col("value") * 100).cast("bigint"))}
+    totals = {"events": F.count("*"), "cents": F.expr("sum(cast(round(value * 100) as bigint))")}
     return run_stream(spark, windowed_report(events, "ts", ["event_type"], totals), "report_window")
 
 

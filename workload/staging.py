@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 from collections.abc import Sequence
 
@@ -14,7 +15,9 @@ def shared_folder(spark: SparkSession) -> str:
     """A fresh folder under the cluster's checkpoint directory."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        raise RuntimeError("spark.checkpoint.dir is not set; name a folder all executors can reach")
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set; name a folder all executors can reach")
+        root = tempfile.mkdtemp(prefix="tidegauge-")
     return f"{root.rstrip('/')}/tidegauge-{uuid.uuid4().hex}"
 
 
@@ -33,12 +36,11 @@ def read_stream_of(
     The stretches, divided at ``cuts``, are written one after another, each clustered by ``keys``: the
     rows of a key then arrive in time order although a file source orders by file age only.
     """
-    rows = staged(spark, df, f"{name}-rows")
     path = f"{shared_folder(spark)}/{name}"
     files = int(spark.conf.get("spark.sql.shuffle.partitions"))
     bounds = [None, *cuts, None]
     for start, end in zip(bounds, bounds[1:]):
-        stretch = rows
+        stretch = df
         if start is not None:
             stretch = stretch.where(F.col(time) >= ts(start))
         if end is not None:

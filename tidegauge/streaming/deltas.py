@@ -6,28 +6,35 @@ sampled, and the server start they belong to.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
-from decimal import ROUND_HALF_UP, Decimal
+from decimal import Decimal
+from itertools import groupby
 
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame, types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..operators.counters import match_counters
 from ..schemas import PERF_SNAP
-from ..sources.constants import AVERAGE, BASE, DIFFERENCED, RATE
+from ..sources.constants import AVERAGE, DIFFERENCED, RATE
 
 STATE = T.StructType(
     [
-        T.StructField("snapshot_date", T.TimestampNTZType()),
-        T.StructField("instance_started", T.TimestampNTZType()),
+        T.StructField("snapshot_us", T.LongType()),
+        T.StructField("started_us", T.LongType()),
         T.StructField("ids", T.ArrayType(T.LongType())),
         T.StructField("totals", T.ArrayType(T.LongType())),
         T.StructField("late", T.LongType()),
     ]
 )
 OUTPUT = T.StructType([*PERF_SNAP.fields, T.StructField("late_samples", T.LongType())])
-_CENT = Decimal("0.01")
+_SAMPLE = ("snapshot_us", "started_us", "inst_perf_param_id", "counter_type", "is_base", "total")
+_SECOND = 1_000_000
+
+# Executors get the functions of this module with the query and need not have the package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 def counter_delta_stream(samples: DataFrame, params: DataFrame, *, base: str = "interval") -> DataFrame:
@@ -37,80 +44,72 @@ def counter_delta_stream(samples: DataFrame, params: DataFrame, *, base: str = "
     without state starts with a first measure.  Samples at or before the family's last snapshot are
     not used, and counted in ``late_samples`` (total so far of the family).
     """
-    keyed = _matched(samples, params)
 
     def advance(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        rows = pd.concat(list(batches), ignore_index=True)
-        last, started, totals, late = None, None, {}, 0
-        if state.exists:
-            last, started, ids, values, late = state.get
-            last, started, totals = pd.Timestamp(last), pd.Timestamp(started), dict(zip(ids, values))
+        instance_id, _ = key
+        rows = sorted(r for b in batches for r in zip(*[b[c].tolist() for c in _SAMPLE]))
+        last, started, ids, values, late = state.get if state.exists else (None, None, [], [], 0)
+        totals = dict(zip(ids, values))
         out = []
-        for snapshot, members in rows.sort_values("snapshot_date", kind="stable").groupby("snapshot_date", sort=True):
+        for (snapshot, begun), members in groupby(rows, key=lambda r: r[:2]):
+            members = list(members)
             if last is not None and snapshot <= last:
                 late += len(members)
                 continue
-            begun = members["instance_started"].max()
             first = last is None or begun != started
-            interval = int(snapshot.timestamp()) - int((begun if first else last).timestamp())
-            out += _measure_family(key, snapshot, members, {} if first else totals, first, interval, base)
-            last, started = snapshot, begun
-            totals = dict(zip(members["inst_perf_param_id"], members["total"]))
-        for row in out:
-            row["late_samples"] = late
+            interval = snapshot // _SECOND - (begun if first else last) // _SECOND
+            for param, value, total in _measure(members, {} if first else totals, first, interval, base):
+                out.append((instance_id, snapshot, param, _cents(value), _cents(100 * total), first, interval))
+            last, started, totals = snapshot, begun, {m[2]: m[5] for m in members}
         if last is not None:
-            ids, values = [int(i) for i in totals], [int(v) for v in totals.values()]
-            state.update((last.to_pydatetime(), started.to_pydatetime(), ids, values, late))
-        yield pd.DataFrame(out, columns=OUTPUT.fieldNames())
-
+            state.update((last, started, list(totals), list(totals.values()), late))
+        frame = pd.DataFrame(out, columns=PERF_SNAP.fieldNames())
+        frame["snapshot_date"] = pd.to_datetime(frame["snapshot_date"], unit="us")
+        yield frame.assign(late_samples=late)
+
+    keyed = match_counters(samples, params, keep=("instance_started",)).selectExpr(
+        "instance_id",
+        "_family",
+        f"{_micros('snapshot_date')} as snapshot_us",
+        f"{_micros('instance_started')} as started_us",
+        "inst_perf_param_id",
+        "counter_type",
+        "_is_base as is_base",
+        "cast(cumulative_perf_value as bigint) as total",
+    )
     return keyed.groupBy("instance_id", "_family").applyInPandasWithState(
         advance, OUTPUT, STATE, "append", GroupStateTimeout.NoTimeout
     )
 
 
-def _matched(samples: DataFrame, params: DataFrame) -> DataFrame:
-    return (
-        match_counters(samples, params, keep=("instance_started",))
-        .withColumn("total", F.col("cumulative_perf_value").cast("bigint"))
-        .withColumnRenamed("_is_base", "is_base")
-        .drop("cumulative_perf_value")
-    )
+def _micros(c: str) -> str:
+    """Wall-clock microseconds since 1970, whatever the session zone."""
+    return f"unix_timestamp({c}) * 1000000 + cast(extract(second from {c}) * 1000000 as bigint) % 1000000"
+
+
+def _measure(members: list[tuple], before: dict, first: bool, interval: int, base: str) -> list[tuple]:
+    """(counter, hundredths, total) of one family at one snapshot; ``before`` holds its last totals."""
+    gains = {m[2]: m[5] if first else m[5] - before.get(m[2], 0) for m in members}
+    divisors = [gains[m[2]] if base == "interval" else m[5] for m in members if m[4]]
+    measured = []
+    for _, _, param, kind, _, total in members:
+        value = 100 * total
+        if kind == AVERAGE:
+            value = _quotient(gains[param], max(divisors, default=0) or 1)
+        elif kind == RATE and not first:
+            value = _quotient(gains[param], interval) if interval else None
+        elif kind in DIFFERENCED and not first:
+            value = 100 * gains[param]
+        if value is not None:
+            measured.append((param, value, total))
+    return measured
 
 
-def _measure_family(
-    key: tuple, snapshot: pd.Timestamp, members: pd.DataFrame, before: dict, first: bool, interval: int, base: str
-) -> list[dict]:
-    """Rows of one family at one snapshot; ``before`` holds the totals of its last snapshot."""
-    measured, divisor = [], None
-    for m in members.itertuples():
-        total = int(m.total)
-        gained = total if first else total - before.get(m.inst_perf_param_id, 0)
-        value = Decimal(total)
-        if not first and m.counter_type == RATE:
-            value = _quotient(gained, interval) if interval else None
-        elif not first and m.counter_type in DIFFERENCED:
-            value = Decimal(gained)
-        if m.is_base and m.counter_type == BASE:
-            divisor = gained if base == "interval" else total
-        measured.append((m, total, value))
-    rows = []
-    for m, total, value in measured:
-        if m.counter_type == AVERAGE:
-            value = _quotient(value, divisor or 1)
-        if value is not None:
-            rows.append(
-                {
-                    "instance_id": key[0],
-                    "snapshot_date": snapshot,
-                    "inst_perf_param_id": m.inst_perf_param_id,
-                    "instance_perf_value": value.quantize(_CENT),
-                    "cumulative_perf_value": Decimal(total).quantize(_CENT),
-                    "startup_measure_ind": first,
-                    "measurement_interval_s": interval,
-                }
-            )
-    return rows
-
-
-def _quotient(num, den) -> Decimal:
-    return (Decimal(num) / Decimal(den)).quantize(_CENT, ROUND_HALF_UP)
+def _quotient(num: int, den: int) -> int:
+    """Hundredths of ``num / den``, rounded half up."""
+    rounded = (200 * abs(num) + abs(den)) // (2 * abs(den))
+    return -rounded if (num < 0) != (den < 0) else rounded
+
+
+def _cents(value: int) -> Decimal:
+    return Decimal(value).scaleb(-2)

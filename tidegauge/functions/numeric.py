@@ -12,15 +12,29 @@ from pyspark.sql import Column, functions as F
 PAGE_KB = 8.0
 LEGACY_PAGE_KB = 8.192
 _KB_PER_GB = 1 << 20
+_LONG_MAX = (1 << 63) - 1
 
 
 def ratio_sql(num: str, den: str, digits: int = 2, *, strict: bool = False) -> str:
     divisor = den if strict else f"nullif({den}, 0)"
-    n = f"abs({num}) * {2 * 10**digits}"
+    n = f"cast(abs({num}) * {2 * 10**digits} as decimal(36,2))"
     d = f"cast(abs({divisor}) as decimal(28,2))"
-    units = f"(cast({n} as decimal(36,2)) + {d}) div (2 * {d})"
-    signed = f"if(({num} < 0) <> ({den} < 0), -({units}), {units})"
-    return f"cast({signed} / {10**digits}BD as decimal(28,{digits}))"
+    return _signed(num, den, f"({n} + {d}) div (2 * {d})", digits)
+
+
+def whole_ratio_sql(num: str, den: str, digits: int = 2, *, strict: bool = False) -> str:
+    """The same for BIGINT arguments: long arithmetic unless a value is too large for it."""
+    divisor = den if strict else f"nullif({den}, 0)"
+    scale = 2 * 10**digits
+    fits = f"abs({num}) <= {_LONG_MAX // (2 * scale)} and abs({den}) <= {_LONG_MAX // 4}"
+    fast = f"(abs({num}) * {scale} + abs({divisor})) div (2 * abs({divisor}))"
+    d = f"cast(abs({divisor}) as decimal(20,0))"
+    wide = f"(cast(abs({num}) as decimal(20,0)) * {scale} + {d}) div (2 * {d})"
+    return _signed(num, den, f"if({fits}, {fast}, {wide})", digits)
+
+
+def _signed(num: str, den: str, units: str, digits: int) -> str:
+    return f"cast(if(({num} < 0) <> ({den} < 0), -1, 1) * ({units}) * {10**-digits:.{digits}f}BD as decimal(28,{digits}))"
 
 
 def ratio(num: str, den: str, digits: int = 2, *, strict: bool = False) -> Column:

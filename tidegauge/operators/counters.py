@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from ..functions.numeric import ratio_sql
+from ..functions.numeric import whole_ratio_sql
 from ..functions.text import name_key_sql
 from ..sources.constants import AVERAGE, BASE, DIFFERENCED, RATE
 from .sequence import snapshot_sequence, with_sequence
@@ -13,7 +13,7 @@ from .series import CHUNK_DAYS, with_previous_snapshot
 ON_RESET = {
     "keep": "{gain}",
     "null": "if({gain} >= 0, {gain}, null)",
-    "cumulative": "if({gain} >= 0, {gain}, cumulative_perf_value)",
+    "cumulative": "if({gain} >= 0, {gain}, total)",
 }
 
 
@@ -47,36 +47,34 @@ def counter_delta(
     looked_up = with_previous_snapshot(
         with_sequence(match_counters(samples, params), sequence),
         ["instance_id", "inst_perf_param_id"],
-        ["cumulative_perf_value"],
+        ["total"],
         cluster=["instance_id", "_family"],
         chunk_days=chunk_days,
     )
-    gain = "(cumulative_perf_value - coalesce(prev_cumulative_perf_value, 0))"
-    divisor = "_gained" if base == "interval" else "_value"
+    gain = ON_RESET[on_reset].format(gain="(total - coalesce(prev_total, 0))")
+    divisor = "_gained" if base == "interval" else "total"
     members = "over (partition by instance_id, _family, _chunk, snapshot_date)"
+    rate, average = whole_ratio_sql("_gained", "interval_s", strict=strict), whole_ratio_sql("_gained", "_divisor")
     return (
-        looked_up.selectExpr(
-            "*", f"if(first_measure, cumulative_perf_value, {ON_RESET[on_reset].format(gain=gain)}) as _gained"
-        )
+        looked_up.selectExpr("*", f"if(first_measure, total, {gain}) as _gained")
         .selectExpr(
             "*",
-            f"""case when first_measure then cumulative_perf_value
-                     when counter_type = {RATE} then {ratio_sql("_gained", "interval_s", strict=strict)}
-                     when counter_type in {DIFFERENCED} then _gained
-                     else cumulative_perf_value end as _value""",
+            f"""case when first_measure then cast(total as decimal(28,2))
+                     when counter_type = {RATE} then {rate}
+                     when counter_type in {DIFFERENCED} then cast(_gained as decimal(28,2))
+                     else cast(total as decimal(28,2)) end as _value""",
         )
         .selectExpr("*", f"coalesce(nullif(max(if(_is_base, {divisor}, null)) {members}, 0), 1) as _divisor")
+        .where("_value is not null")
         .selectExpr(
             "instance_id",
             "snapshot_date",
             "inst_perf_param_id",
-            f"""cast(if(counter_type = {AVERAGE}, {ratio_sql("_value", "_divisor")}, _value) as decimal(28,2))
-                as instance_perf_value""",
-            "cumulative_perf_value",
+            f"if(counter_type = {AVERAGE}, {average}, _value) as instance_perf_value",
+            "cast(total as decimal(28,2)) as cumulative_perf_value",
             "first_measure as startup_measure_ind",
             "interval_s as measurement_interval_s",
         )
-        .where("instance_perf_value is not null")
     )
 
 
@@ -102,7 +100,7 @@ def match_counters(samples: DataFrame, params: DataFrame, *, keep: tuple[str, ..
         f"{name_key_sql('object_name')} as object_key",
         f"{name_key_sql('counter_name')} as counter_key",
         f"{name_key_sql('instance_name')} as instance_key",
-        "cast(abs(cntr_value) as decimal(28,2)) as cumulative_perf_value",
+        "abs(cntr_value) as total",
         *keep,
     )
     keys = ["object_key", "counter_key", "instance_key"]

@@ -40,33 +40,33 @@ def build_counter_dim(samples: DataFrame, *, with_custom: bool = True, parity: b
     cut per row.  ``with_custom`` adds the collector-computed counters.  ``parity`` lets broker
     activation through and files one custom counter under another object.
 
-    Duplicates spelled differently collapse into the smallest spelling; the pre-aggregation runs
-    before any shuffle, so the repeated polls of a counter cost one row per task.
+    Duplicates spelled differently collapse into the smallest spelling.  Exact duplicates, the
+    repeated polls, go first and by hash, so they cost one row per task.
     """
     families = [f for f in PER_DATABASE_FAMILIES if not (parity and f == "Broker Activation")]
     per_database = key_in_sql(object_family_sql("object_key"), families)
-    kept = (
-        samples.selectExpr(
-            "trim(object_name) as object_nm",
-            "trim(counter_name) as counter_nm",
-            "trim(instance_name) as instance_nm",
-            "cntr_type as counter_type",
-        )
-        .transform(_with_keys)
-        .where(f"not {per_database} or {key_in_sql('instance_key', SUMMARY_INSTANCES)}")
-        .groupBy(*_KEYS)
-        .agg(*[F.min(c).alias(c) for c in (*_NAMES, "counter_type")])
+    listed = samples.selectExpr(
+        "trim(object_name) as object_nm",
+        "trim(counter_name) as counter_nm",
+        "trim(instance_name) as instance_nm",
+        "cntr_type as counter_type",
+    ).distinct()
+    kept = listed.transform(_with_keys).where(
+        f"not {per_database} or {key_in_sql('instance_key', SUMMARY_INSTANCES)}"
     )
     if with_custom:
         custom = custom_counters(samples.sparkSession, parity=parity).withColumn("counter_type", F.lit(CUSTOM))
-        custom = custom.transform(_with_keys).join(kept.select(*_KEYS), list(_KEYS), "left_anti")
-        kept = kept.unionByName(custom)
-    return kept.select(
-        surrogate_id(*_KEYS).alias("inst_perf_param_id"),
-        *_NAMES,
-        "counter_type",
-        F.expr("0L as parent_param_id"),
-        F.expr("false as log_ind"),
+        kept = kept.unionByName(custom.transform(_with_keys))
+    return (
+        kept.groupBy(*_KEYS)
+        .agg(*[F.min(c).alias(c) for c in (*_NAMES, "counter_type")])
+        .select(
+            surrogate_id(*_KEYS).alias("inst_perf_param_id"),
+            *_NAMES,
+            "counter_type",
+            F.expr("0L as parent_param_id"),
+            F.expr("false as log_ind"),
+        )
     )
 
 
@@ -85,25 +85,17 @@ def link_base_counters(dim: DataFrame, *, parity: bool = False) -> DataFrame:
     """Gives each base counter the id of the counter it divides.
 
     The base of ``Average Wait Time (ms)`` is called ``Average Wait Time base``: same object, same
-    instance.  ``parity`` links ratio counters only, not averages.
+    instance.  Both meet in one group of a window, without a join of the dimension to itself.
+    ``parity`` links ratio counters only, not averages.
     """
-    kinds = (RATIO,) if parity else (RATIO, AVERAGE)
-    parents = (
-        dim.where(F.col("counter_type").isin(*kinds))
-        .transform(_with_keys)
-        .selectExpr(
-            "object_key",
-            "rtrim(replace(counter_key, ' (ms)', '')) || ' base' as counter_key",
-            "instance_key",
-            f"{BASE} as counter_type",
-            "inst_perf_param_id as _parent",
-        )
-        .groupBy(*_KEYS, "counter_type")
-        .agg(F.min("_parent").alias("_parent"))
-    )
+    kinds = RATIO if parity else f"{RATIO}, {AVERAGE}"
+    base_name = f"if(counter_type in ({kinds}), rtrim(replace(counter_key, ' (ms)', '')) || ' base', counter_key)"
+    parent = f"min(if(counter_type in ({kinds}), inst_perf_param_id, null))"
+    pair = "over (partition by object_key, instance_key, _base_key)"
     return (
         dim.transform(_with_keys)
-        .join(parents, [*_KEYS, "counter_type"], "left")
+        .selectExpr("*", f"{base_name} as _base_key")
+        .selectExpr("*", f"if(counter_type = {BASE}, {parent} {pair}, null) as _parent")
         .withColumn("parent_param_id", F.coalesce("_parent", "parent_param_id"))
         .select(*_COLUMNS)
     )

@@ -75,7 +75,7 @@ def counter_delta_stream(samples: DataFrame, params: DataFrame, *, base: str = "
         "inst_perf_param_id",
         "counter_type",
         "_is_base as is_base",
-        "cast(cumulative_perf_value as bigint) as total",
+        "total",
     )
     return keyed.groupBy("instance_id", "_family").applyInPandasWithState(
         advance, OUTPUT, STATE, "append", GroupStateTimeout.NoTimeout

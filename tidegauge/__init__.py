@@ -4,9 +4,15 @@ from .operators.archive import new_rows, split_by_age, with_audit
 from .operators.capacity import capacity_alerts, capacity_breaches, drive_usage
 from .operators.config import attributes_to_columns, config_changes, instance_rows, latest_config
 from .operators.counters import counter_delta
-from .operators.dimension import build_counter_dim, counter_dimension, flag_counters, link_base_counters
+from .operators.dimension import (
+    build_counter_dim,
+    counter_dimension,
+    flag_counters,
+    link_base_counters,
+    server_prefixes,
+)
 from .operators.io import file_samples, io_delta
-from .operators.sequence import snapshot_sequence
+from .operators.sequence import last_snapshots, snapshot_sequence
 from .operators.usage import (
     column_counts,
     container_rollup,

@@ -14,6 +14,11 @@ def surrogate_id(*keys: str) -> Column:
     return F.expr(f"cast(conv(substring(md5(concat_ws('|', {', '.join(keys)})), 1, 15), 16, 10) as bigint)")
 
 
+def instance_key(server: str, instance: str) -> Column:
+    """Id of an instance from its server and instance name (default instance when NULL)."""
+    return surrogate_id(f"lower(rtrim({server}))", f"lower(rtrim(coalesce({instance}, 'MSSQLSERVER')))")
+
+
 def row_hash(columns: Sequence[str]) -> Column:
     """Hash of a row for change detection; NULL and '' hash differently."""
     parts = ", ".join(f"coalesce(cast({c} as string), {NULL_TOKEN})" for c in columns)

@@ -26,8 +26,11 @@ def snapshot_day(c: str = "snapshot_date") -> Column:
 
 
 def time_chunk_sql(c: str, days: int) -> str:
-    """Number of the fixed-length stretch of ``days`` days a timestamp falls in."""
-    return f"cast(floor(unix_date(cast({c} as date)) / {days}) as int)"
+    """Number of the fixed-length stretch of ``days`` days a timestamp falls in.
+
+    Never NULL: joins on it then infer no extra filter, so both sides can share an exchange.
+    """
+    return f"coalesce(cast(floor(unix_date(cast({c} as date)) / {days}) as int), 0)"
 
 
 def earliest_first_sql(c: str) -> str:

@@ -32,6 +32,15 @@ _NAMES = ("object_nm", "counter_nm", "instance_nm")
 _KEYS = ("object_key", "counter_key", "instance_key")
 
 
+def server_prefixes(samples: DataFrame) -> DataFrame:
+    """The prefixes named servers put before their objects: ``MSSQL$NAME`` of ``MSSQL$NAME:Locks``."""
+    return (
+        samples.where("startswith(upper(object_name), 'MSSQL$')")
+        .selectExpr("instance_id", "substring_index(object_name, ':', 1) as prefix")
+        .distinct()
+    )
+
+
 def build_counter_dim(samples: DataFrame, *, with_custom: bool = True, parity: bool = False) -> DataFrame:
     """One row per counter seen, without those listed once per database.
 

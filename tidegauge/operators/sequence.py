@@ -69,6 +69,15 @@ def snapshot_sequence(
     )
 
 
+def last_snapshots(df: DataFrame) -> DataFrame:
+    """Newest snapshot, number of rows and latest server start per instance."""
+    return df.groupBy("instance_id").agg(
+        F.max("snapshot_date").alias("last_snapshot"),
+        F.count("*").alias("row_count"),
+        F.max("instance_started").alias("instance_started"),
+    )
+
+
 def with_sequence(df: DataFrame, sequence: DataFrame) -> DataFrame:
     """Attaches the sequence columns by (instance, snapshot).
 

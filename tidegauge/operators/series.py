@@ -70,8 +70,9 @@ def with_previous_snapshot(
     """
     cluster = list(cluster or keys)
     home, following = time_chunk_sql("snapshot_date", chunk_days), time_chunk_sql("next_snapshot", chunk_days)
+    crosses = f"next_snapshot is not null and {following} > {home}"
     placed = df.selectExpr(
-        "*", f"explode(if({following} > {home}, array({home}, {following}), array({home}))) as _chunk"
+        "*", f"explode(if({crosses}, array({home}, {following}), array({home}))) as _chunk"
     ).repartition(*cluster, "_chunk")
     over = f"over (partition by {', '.join(dict.fromkeys([*cluster, *keys]))}, _chunk order by snapshot_date)"
     adjacent = f"lag(snapshot_date) {over} = prev_snapshot"

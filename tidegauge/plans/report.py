@@ -96,17 +96,21 @@ def performance_report(
 ) -> dict[str, DataFrame]:
     """The five results over ``[start, end]`` (default: the 30 minutes before ``end``).
 
-    ``tables`` holds perf_snap, counter_dimension, wait_summary and filestats.  Results are lazy; a
-    result nobody collects costs nothing.  Tables with ``snapshot_day`` are pruned to the window.
+    ``tables`` holds perf_snap with counter_dimension, wait_summary and filestats; results of a table
+    not given are left out.  Results are lazy, so one that nobody collects costs nothing.  Tables with
+    ``snapshot_day`` are pruned to the window.
     """
     start, end = report_window(start, end)
-    snaps, waits, files = (
-        between_snapshots(tables[t], start, end) for t in ("perf_snap", "wait_summary", "filestats")
-    )
-    return {
-        "snapshots": snapshot_report(snaps, tables["counter_dimension"], parity=parity, strict=strict),
-        "waits": wait_share_report(waits, strict=strict),
-        "io_all": io_summary(files),
-        "io_rows": io_summary(files, "rows"),
-        "io_log": io_summary(files, "log"),
-    }
+    within = {name: between_snapshots(df, start, end) for name, df in tables.items() if name != "counter_dimension"}
+    results = {}
+    if "perf_snap" in within:
+        results["snapshots"] = snapshot_report(
+            within["perf_snap"], tables["counter_dimension"], parity=parity, strict=strict
+        )
+    if "wait_summary" in within:
+        results["waits"] = wait_share_report(within["wait_summary"], strict=strict)
+    if "filestats" in within:
+        results["io_all"] = io_summary(within["filestats"])
+        results["io_rows"] = io_summary(within["filestats"], "rows")
+        results["io_log"] = io_summary(within["filestats"], "log")
+    return results

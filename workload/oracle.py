@@ -719,11 +719,40 @@ def _latch(divisor: str) -> str:
     return _SNAP.format(source=f"({averages}) a")
 
 
+_SHARE = f"""
+SELECT instance_id, snapshot_date, wait_type,
+       {_half_up("wait_time", "all_wait", 10000)} AS wait_pct,
+       {_half_up("signal_wait_time", "NULLIF(all_signal, 0)", 10000)} AS signal_wait_pct, {_WAIT_AVERAGES}
+FROM (
+  SELECT w.*, t.all_wait, t.all_signal
+  FROM waits w JOIN (
+    SELECT instance_id, snapshot_date, SUM(wait_time) AS all_wait, SUM(signal_wait_time) AS all_signal
+    FROM waits GROUP BY 1, 2) t USING (instance_id, snapshot_date)) s
+WHERE wait_time > 0"""
+_WITHIN = "snapshot_date BETWEEN TIMESTAMP '2024-01-12 00:00:00' AND TIMESTAMP '2024-01-22 12:00:00'"
+_IO_WITHIN = "snapshot_date BETWEEN TIMESTAMP '1996-06-01 00:00:00' AND TIMESTAMP '1998-02-01 00:00:00'"
+
+
+def _io_kind(kind: str) -> str:
+    where = f"WHERE {_IO_WITHIN}" + ("" if kind == "all" else f" AND lower(db_file_type) = '{kind}'")
+    return f"SELECT *, '{kind}' AS files FROM ({_io_summary(where)}) x"
+
+
 _CONFIG = "instance_id, snapshot_date, instance_nm, server_nm, is_clustered, logical_proc_count, physical_memory_gb, file_version, engine_edition, committed_target_gb"
 _RESOURCE = "SELECT instance_id, end_time, avg_cpu_percent, avg_data_io_percent, dtu_limit FROM resource"
 
 ORACLE_SQL: dict[str, str] = {
     "snapshot_sequence": _sql("SELECT * FROM seq", "seq"),
+    "snapshot_bounds": _sql(
+        """SELECT instance_id, MAX(snapshot_date) AS last_snapshot, COUNT(*) AS row_count,
+       MAX(instance_started) AS instance_started FROM raw_waits GROUP BY 1""",
+        "raw_waits",
+    ),
+    "counter_prefixes": _sql(
+        """SELECT DISTINCT instance_id, split_part(object_name, ':', 1) AS prefix FROM raw_counters
+WHERE upper(object_name) LIKE 'MSSQL$%'""",
+        "raw_counters",
+    ),
     "perf_snap": _sql(_SNAP.format(source="perf"), "perf"),
     "counter_rate": _sql(_types(272696576), "perf"),
     "counter_interval": _sql(_types(-1), "perf"),
@@ -775,19 +804,7 @@ FROM waits""",
 WHERE wait_time_request_average > 100""",
         "waits",
     ),
-    "wait_share_report": _sql(
-        f"""SELECT instance_id, snapshot_date, wait_type,
-       {_half_up("wait_time", "all_wait", 10000)} AS wait_pct,
-       {_half_up("signal_wait_time", "NULLIF(all_signal, 0)", 10000)} AS signal_wait_pct, {_WAIT_AVERAGES}
-FROM (
-  SELECT w.*, (SELECT SUM(wait_time) FROM waits x
-               WHERE x.instance_id = w.instance_id AND x.snapshot_date = w.snapshot_date) AS all_wait,
-         (SELECT SUM(signal_wait_time) FROM waits x
-          WHERE x.instance_id = w.instance_id AND x.snapshot_date = w.snapshot_date) AS all_signal
-  FROM waits w) s
-WHERE wait_time > 0""",
-        "waits",
-    ),
+    "wait_share_report": _sql(_SHARE, "waits"),
     "wait_archive_keep": _sql(
         _WAIT.format(source="waits", more="") + f" WHERE snapshot_date > {_ARCHIVE_CUTOFF}", "waits"
     ),
@@ -824,12 +841,14 @@ FROM (
     "waittime_pivot": _sql("SELECT * FROM waittime", "waittime"),
     "summary_ratio": _sql("SELECT * FROM ratios", "ratios"),
     "performance_report": _sql(
-        _REPORT + " WHERE snapshot_date BETWEEN TIMESTAMP '2024-01-12 00:00:00' AND TIMESTAMP '2024-01-22 12:00:00'",
+        f"{_REPORT} WHERE {_WITHIN}",
         "ratios",
         "memory",
         "throughput",
         "waittime",
     ),
+    "performance_report_waits": _sql(f"{_SHARE} AND {_WITHIN}", "waits"),
+    "performance_report_io": _sql(" UNION ALL ".join(_io_kind(k) for k in ("all", "rows", "log")), "files"),
     "performance_report_from_views": _sql(_REPORT, "ratios", "memory", "throughput", "waittime"),
     "config_change_log": _sql(f"SELECT {_CONFIG} FROM ({_changes('config')}) c", "config"),
     "config_latest": _sql(

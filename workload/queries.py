@@ -30,6 +30,7 @@ from .staging import read_stream_of, run_stream, staged
 Query = Callable[[SparkSession, str], DataFrame]
 DB = ("database_name",)
 REPORT_START, REPORT_END = datetime(2024, 1, 12), datetime(2024, 1, 22, 12)
+IO_START, IO_END = datetime(1996, 6, 1), datetime(1998, 2, 1)
 ARCHIVE_ASOF, ARCHIVE_DAYS = datetime(2024, 1, 30, 12), 14
 REINITIALIZED_AT = "2024-01-20 08:00:00"
 DRIVE_THRESHOLD = 20
@@ -121,6 +122,14 @@ def snapshot_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tg.snapshot_sequence(derived.raw_waits(spark, sf_dir))
 
 
+def snapshot_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tg.last_snapshots(derived.raw_waits(spark, sf_dir))
+
+
+def counter_prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tg.server_prefixes(derived.raw_counters(spark, sf_dir))
+
+
 def perf_snap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _snap_columns(_snaps(spark, sf_dir))
 
@@ -231,14 +240,12 @@ def wait_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def wait_share_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tg.wait_share_report(_waits(spark, sf_dir)).selectExpr(
-        *BY,
-        "wait_type",
-        hundredths("wait_pct"),
-        hundredths("signal_wait_pct"),
-        hundredths("wait_time_request_average"),
-        hundredths("signal_wait_time_request_average"),
-    )
+    return _share_columns(tg.wait_share_report(_waits(spark, sf_dir)))
+
+
+def _share_columns(df: DataFrame) -> DataFrame:
+    shown = ("wait_pct", "signal_wait_pct", "wait_time_request_average", "signal_wait_time_request_average")
+    return df.selectExpr(*BY, "wait_type", *[hundredths(c) for c in shown])
 
 
 def wait_archive_keep(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -300,20 +307,23 @@ def summary_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _pivot_columns(tg.summary_ratio(*_facts(spark, sf_dir)))
 
 
-def _report_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def performance_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     snaps, params = _facts(spark, sf_dir)
-    return {
-        "perf_snap": snaps,
-        "counter_dimension": params,
-        "wait_summary": _waits(spark, sf_dir),
-        "filestats": _files(spark, sf_dir),
-    }
+    tables = {"perf_snap": snaps, "counter_dimension": params}
+    return _pivot_columns(tg.performance_report(tables, start=REPORT_START, end=REPORT_END)["snapshots"])
 
 
-def performance_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    results = tg.performance_report(_report_tables(spark, sf_dir), start=REPORT_START, end=REPORT_END)
-    report = results["snapshots"]
-    return _pivot_columns(report)
+def performance_report_waits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    results = tg.performance_report({"wait_summary": _waits(spark, sf_dir)}, start=REPORT_START, end=REPORT_END)
+    return _share_columns(results["waits"])
+
+
+def performance_report_io(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three IO results of one report, side by side."""
+    tables = {"filestats": staged(spark, _files(spark, sf_dir), "filestats")}
+    results = tg.performance_report(tables, start=IO_START, end=IO_END)
+    kinds = [results[f"io_{k}"].withColumn("files", F.lit(k)) for k in ("all", "rows", "log")]
+    return kinds[0].unionByName(kinds[1]).unionByName(kinds[2])
 
 
 def performance_report_from_views(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -537,6 +547,8 @@ def read_events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "snapshot_sequence": snapshot_sequence,
+    "snapshot_bounds": snapshot_bounds,
+    "counter_prefixes": counter_prefixes,
     "perf_snap": perf_snap,
     "counter_rate": counter_rate,
     "counter_interval": counter_interval,
@@ -567,6 +579,8 @@ QUERIES: dict[str, Query] = {
     "waittime_pivot": waittime_pivot,
     "summary_ratio": summary_ratio,
     "performance_report": performance_report,
+    "performance_report_waits": performance_report_waits,
+    "performance_report_io": performance_report_io,
     "performance_report_from_views": performance_report_from_views,
     "config_change_log": config_change_log,
     "config_latest": config_latest,

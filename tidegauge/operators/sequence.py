@@ -45,13 +45,19 @@ def snapshot_sequence(
         )
     )
     inside = "over (partition by instance_id, _chunk order by snapshot_date)"
-    sequenced = points.join(edges, ["instance_id", "_chunk"]).selectExpr(
+    neighbours = points.selectExpr(
+        "*",
+        f"lag(snapshot_date) {inside} as _lag",
+        f"lag(instance_started) {inside} as _lag_started",
+        f"lead(snapshot_date) {inside} as _lead",
+    )
+    sequenced = neighbours.join(edges, ["instance_id", "_chunk"]).selectExpr(
         "instance_id",
         "snapshot_date",
         "instance_started",
-        f"coalesce(lag(snapshot_date) {inside}, _before.snapshot_date) as prev_snapshot",
-        f"coalesce(lag(instance_started) {inside}, _before.instance_started) as _prev_started",
-        f"coalesce(lead(snapshot_date) {inside}, _after) as next_snapshot",
+        "coalesce(_lag, _before.snapshot_date) as prev_snapshot",
+        "coalesce(_lag_started, _before.instance_started) as _prev_started",
+        "coalesce(_lead, _after) as next_snapshot",
     )
     restarted = "prev_snapshot < instance_started" if parity else "_prev_started <> instance_started"
     first = f"prev_snapshot is null or {restarted}"

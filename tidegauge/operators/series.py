@@ -30,7 +30,7 @@ def running_max_before(
 
     NULL on the first row.  Two levels: the maximum of each stretch is carried forward over the
     stretches (one row each), then combined with the running maximum inside the stretch.  The rows
-    are shuffled once, by (keys, stretch); the carried side joins on the same columns.
+    are shuffled and sorted once, by (keys, stretch); the carried side joins on the same columns.
     """
     rows = df.selectExpr("*", f"{value} as _value", f"{time_chunk_sql(order, chunk_days)} as _chunk")
     stretch, series = ", ".join([*keys, "_chunk"]), ", ".join(keys)
@@ -44,9 +44,9 @@ def running_max_before(
     )
     inside = f"max(_value) over (partition by {stretch} order by {order} {earlier})"
     return (
-        rows.join(carried, [*keys, "_chunk"])
-        .selectExpr("*", f"greatest(_carried, {inside}) as {out}")
-        .drop("_value", "_chunk", "_carried")
+        rows.selectExpr("*", f"{inside} as _inside")
+        .join(carried, [*keys, "_chunk"])
+        .selectExpr(*df.columns, f"greatest(_carried, _inside) as {out}")
     )
 
 

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from datetime import timedelta
+
 from samples import at, counters, params
 
 import tidegauge as tg
@@ -53,6 +55,21 @@ def test_late_samples_are_counted_not_used(spark, tmp_path):
     assert got == [(at(1), 10, 0), (at(3), 20, 0), (at(4), 10, 1)]
 
 
+def test_silent_families_are_forgotten(spark, tmp_path):
+    dim = params(spark, [(1, "C", CUSTOM, 0), (2, "D", CUSTOM, 0)])
+    parts = [
+        counters(spark, [(1, 0, "C", 10, CUSTOM), (1, 0, "D", 5, CUSTOM)]),
+        counters(spark, [(2, 0, "D", 8, CUSTOM)]),
+        counters(spark, [(30, 0, "D", 9, CUSTOM)]),
+        counters(spark, [(31, 0, "D", 11, CUSTOM)]),
+        counters(spark, [(32, 0, "C", 50, CUSTOM), (32, 0, "D", 12, CUSTOM)]),
+    ]
+    stream = counter_delta_stream(feed(spark, tmp_path / "in", parts), dim, forget_after=timedelta(hours=24))
+    got = {(r.inst_perf_param_id, r.snapshot_date): (int(r.instance_perf_value), r.startup_measure_ind) for r in run_stream(spark, stream, "out").collect()}
+    assert got[(1, at(32))] == (50, True)  # silent since 1
+    assert got[(2, at(2))] == (3, False) and got[(2, at(31))] == (2, False) and got[(2, at(32))] == (1, False)
+
+
 def test_sliding_report_closes_windows(spark, tmp_path):
     rows = spark.createDataFrame([(at(0.1), 1), (at(0.4), 2), (at(3), 4)], "ts timestamp_ntz, v int")
     from pyspark.sql import functions as F

@@ -8,12 +8,13 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Iterator
+from datetime import timedelta
 from decimal import Decimal
 from itertools import groupby
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..operators.counters import match_counters
@@ -37,15 +38,30 @@ _SECOND = 1_000_000
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
-def counter_delta_stream(samples: DataFrame, params: DataFrame, *, base: str = "interval") -> DataFrame:
+def counter_delta_stream(
+    samples: DataFrame,
+    params: DataFrame,
+    *,
+    base: str = "interval",
+    forget_after: timedelta | None = None,
+    late_after: str = "10 minutes",
+) -> DataFrame:
     """``counter_delta`` over a stream: append-mode ``perf_snap`` rows plus ``late_samples``.
 
     Each sample is compared with the family's last one, wherever in the stream that was; a family
     without state starts with a first measure.  Samples at or before the family's last snapshot are
     not used, and counted in ``late_samples`` (total so far of the family).
+
+    forget_after  drop the state of a family silent for that long, so retired servers free theirs; if
+                  it comes back it starts with a first measure.  Time then follows the samples'
+                  watermark, and samples more than ``late_after`` behind it are dropped uncounted.
     """
+    forget_ms = None if forget_after is None else int(forget_after.total_seconds() * 1000)
 
     def advance(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
         instance_id, _ = key
         rows = sorted(r for b in batches for r in zip(*[b[c].tolist() for c in _SAMPLE]))
         last, started, ids, values, late = state.get if state.exists else (None, None, [], [], 0)
@@ -63,11 +79,17 @@ def counter_delta_stream(samples: DataFrame, params: DataFrame, *, base: str = "
             last, started, totals = snapshot, begun, {m[2]: m[5] for m in members}
         if last is not None:
             state.update((last, started, list(totals), list(totals.values()), late))
+            if forget_ms is not None:
+                state.setTimeoutTimestamp(max(last // 1000 + forget_ms, state.getCurrentWatermarkMs() + 1))
         frame = pd.DataFrame(out, columns=PERF_SNAP.fieldNames())
         frame["snapshot_date"] = pd.to_datetime(frame["snapshot_date"], unit="us")
         yield frame.assign(late_samples=late)
 
-    keyed = match_counters(samples, params, keep=("instance_started",)).selectExpr(
+    timed = samples
+    if forget_ms is not None:
+        timed = samples.withColumn("_at", F.col("snapshot_date").cast("timestamp")).withWatermark("_at", late_after)
+    clock = ["_at"] if forget_ms is not None else []
+    keyed = match_counters(timed, params, keep=("instance_started", *clock)).selectExpr(
         "instance_id",
         "_family",
         f"{_micros('snapshot_date')} as snapshot_us",
@@ -76,10 +98,10 @@ def counter_delta_stream(samples: DataFrame, params: DataFrame, *, base: str = "
         "counter_type",
         "_is_base as is_base",
         "total",
+        *clock,
     )
-    return keyed.groupBy("instance_id", "_family").applyInPandasWithState(
-        advance, OUTPUT, STATE, "append", GroupStateTimeout.NoTimeout
-    )
+    timeout = GroupStateTimeout.NoTimeout if forget_ms is None else GroupStateTimeout.EventTimeTimeout
+    return keyed.groupBy("instance_id", "_family").applyInPandasWithState(advance, OUTPUT, STATE, "append", timeout)
 
 
 def _micros(c: str) -> str:

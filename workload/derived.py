@@ -162,8 +162,8 @@ def raw_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy("instance_id", "snapshot_date", "event_type")
         .agg(F.struct(F.count("*").alias("n"), F.sum("cents").alias("c")).alias("cell"))
     )
-    names = ("event", "object", "counter_name", "instance_name", "cntr_type", "measure", "sparse")
-    counters = _constant_rows(names, (*COUNTERS, CUSTOM_SAMPLE))
+    names = ("series", "event", "object", "counter_name", "instance_name", "cntr_type", "measure", "sparse")
+    counters = _constant_rows(names, [(n, *row) for n, row in enumerate((*COUNTERS, CUSTOM_SAMPLE))])
     cloud, custom = F.col("instance_id") % 4 == 0, F.col("cntr_type") == CUSTOM
     dense = (
         cells.groupBy("instance_id", "snapshot_date")
@@ -172,7 +172,7 @@ def raw_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
         .withColumn("cell", F.col("cells")[F.col("event")])
         .withColumns({m: F.coalesce(F.col(f"cell.{m}"), F.lit(0).cast("bigint")) for m in ("n", "c")})
     )
-    run = _since_start("object", "counter_name", "instance_name")
+    run = _since_start("series")
     return (
         dense.withColumns({"total_n": F.sum("n").over(run), "total_c": F.sum("c").over(run)})
         .where((~F.col("sparse") | (F.col("n") > 0)) & ~(custom & cloud))

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidegauge.llm.mixing import mix
+from tidegauge.llm.quality import judge
 from tidegauge.llm.shared import read_table
 
 
@@ -16,8 +17,17 @@ def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "passes")
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Figures of each document, its own failures, and whether it and its host are kept."""
+    judged = judge(read_table(spark, sf_dir, "documents"), carry=("doc_id",))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "host_kept", "kept"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_mix_sources": op4_mix_sources,
+    "op7_quality_rules": op7_quality_rules,
 }
 
 ORACLE_SQL: dict[str, str] = {}

@@ -9,6 +9,22 @@ from pyspark.sql import DataFrame, SparkSession
 from tidegauge.llm.mixing import mix
 from tidegauge.llm.quality import judge
 from tidegauge.llm.shared import read_table
+from tidegauge.llm.url_filter import judge_urls
+
+#: The rules of the page table: verdict, then host and start of the path.
+URL_RULES = (
+    ("allow", "org/"),
+    ("block", "example.org/es/"),
+    ("block", "example.org/en/1"),
+    ("allow", "com/fr/"),
+    ("block", "com/de/"),
+)
+
+
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, rule and verdict of every page's URL."""
+    judged = judge_urls(read_table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict", "block_score")
 
 
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,6 +42,7 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_url_filter": op2_url_filter,
     "op4_mix_sources": op4_mix_sources,
     "op7_quality_rules": op7_quality_rules,
 }

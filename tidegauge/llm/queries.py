@@ -10,6 +10,7 @@ from tidegauge.llm.mixing import mix
 from tidegauge.llm.quality import judge
 from tidegauge.llm.shared import read_table
 from tidegauge.llm.url_filter import judge_urls
+from tidegauge.llm.warc import read_records, write_archives
 
 #: The rules of the page table: verdict, then host and start of the path.
 URL_RULES = (
@@ -33,6 +34,12 @@ def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "passes")
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page, written to WARC archives and read back by the index."""
+    index, folder = write_archives(read_table(spark, sf_dir, "pages"))
+    return read_records(index, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Figures of each document, its own failures, and whether it and its host are kept."""
     judged = judge(read_table(spark, sf_dir, "documents"), carry=("doc_id",))
@@ -44,6 +51,7 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_url_filter": op2_url_filter,
     "op4_mix_sources": op4_mix_sources,
+    "op5_warc": op5_warc,
     "op7_quality_rules": op7_quality_rules,
 }
 

@@ -7,11 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidegauge.llm.mixing import mix
+from tidegauge.llm.packing import pack, tokenized_pieces
 from tidegauge.llm.quality import judge
 from tidegauge.llm.shared import read_table
 from tidegauge.llm.url_filter import judge_urls
 from tidegauge.llm.warc import read_records, write_archives
 
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's tokens in sequences of 4096."""
+    import public_tokenizers
+
+    documents = read_table(spark, sf_dir, "documents")
+    pieces = pack(tokenized_pieces(documents, public_tokenizers.path("word_bpe_49k.json")))
+    return pieces.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
 #: The rules of the page table: verdict, then host and start of the path.
 URL_RULES = (
     ("allow", "org/"),
@@ -49,6 +59,7 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_packing": op1_packing,
     "op2_url_filter": op2_url_filter,
     "op4_mix_sources": op4_mix_sources,
     "op5_warc": op5_warc,

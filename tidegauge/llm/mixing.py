@@ -93,7 +93,7 @@ def mix(
     share: float = 1.5,
     cap: float = 2.0,
     block_words: int = 64,
-    shard_words: int = 4_000_000,
+    shard_words: int = 1_000_000,
     seed: int = 20,
 ) -> DataFrame:
     """All input columns plus ``size, source_size, target, passes, spans, taken``.

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidegauge.llm.html_text import extract_text
 from tidegauge.llm.mixing import mix
 from tidegauge.llm.packing import pack, tokenized_pieces
 from tidegauge.llm.quality import judge
@@ -58,12 +59,19 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return extract_text(pages).select("page_id", "url", "text", "n_chars")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_url_filter": op2_url_filter,
     "op4_mix_sources": op4_mix_sources,
     "op5_warc": op5_warc,
     "op7_quality_rules": op7_quality_rules,
+    "op9_html_text": op9_html_text,
 }
 
 ORACLE_SQL: dict[str, str] = {}

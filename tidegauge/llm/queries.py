@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidegauge.llm.html_text import extract_text
+from tidegauge.llm.language import held_out, identify, learn
 from tidegauge.llm.mixing import mix
 from tidegauge.llm.packing import pack, tokenized_pieces
 from tidegauge.llm.quality import judge
@@ -65,6 +67,13 @@ def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_text(pages).select("page_id", "url", "text", "n_chars")
 
 
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The predicted language of every document."""
+    documents = read_table(spark, sf_dir, "documents")
+    found = identify(documents, learn(documents), carry=("doc_id",))
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_url_filter": op2_url_filter,
@@ -72,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_warc": op5_warc,
     "op7_quality_rules": op7_quality_rules,
     "op9_html_text": op9_html_text,
+    "op10_language": op10_language,
 }
 
 ORACLE_SQL: dict[str, str] = {}

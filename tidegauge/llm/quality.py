@@ -20,31 +20,35 @@ RULES = ("few_words", "repetitive", "symbols", "repeated_lines")
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")
 
 
-def _repeat_words(grams: Column) -> Column:
-    """Words in 3-word windows that occur twice or more; ``grams`` has the windows' hashes by start.
+def _with_equal_neighbour(ordered: str, same, position) -> Column:
+    """Positions of the elements of the array column that have a ``same`` one beside them."""
+    after = F.slice(ordered, 2, F.size(ordered))
+    pairs = F.zip_with(ordered, after, lambda x, y: F.when(same(x, y), F.array(position(x), position(y))))
+    return F.array_distinct(F.flatten(F.filter(pairs, lambda p: p.isNotNull())))
 
-    Sorted by hash, the windows that occur again have a neighbour with their hash.  Their starts in order add three words
-    each, less what the window before already covers.
+
+def _with_repeat_words(rows: DataFrame) -> DataFrame:
+    """Adds ``n_repeat_words``: words in 3-word windows that occur twice or more; ``q_grams`` has the windows' hashes by start.
+
+    Each hash gives its low part to the window's start, so that sorting plain numbers brings windows of one high part
+    together.  Only those are compared by their whole hashes.  The starts that remain add three words each, less what the
+    window before already covers.  Each step is a column of its own, so that it is evaluated once.
     """
-    by_hash = F.array_sort(F.transform(grams, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-    hashes = F.transform(by_hash, lambda x: x["h"])
-    marked = F.zip_with(
-        by_hash,
-        F.zip_with(
-            F.concat(F.array(F.lit(None).cast("long")), hashes),
-            F.concat(F.slice(hashes, 2, F.greatest(F.size(hashes) - 1, F.lit(0))), F.array(F.lit(None).cast("long"))),
-            lambda before, after: F.struct(before.alias("before"), after.alias("after")),
-        ),
-        lambda x, y: F.when((x["h"] == y["before"]) | (x["h"] == y["after"]), x["i"]),
-    )
-    starts = F.array_sort(F.filter(marked, lambda i: i.isNotNull()))
+    n = F.size("q_grams").cast("long")
+    high = lambda x: x - F.pmod(x, n)
+    rows = rows.withColumn("q_packed", F.sort_array(F.transform("q_grams", lambda h, i: high(F.shiftright(h, 1)) + i)))
+    alike = _with_equal_neighbour("q_packed", lambda x, y: high(x) == high(y), lambda x: F.pmod(x, n).cast("int"))
+    rows = rows.withColumn("q_alike", F.when(n > 1, alike))
+    rows = rows.withColumn("q_whole", F.array_sort(F.transform("q_alike", lambda i: F.struct(F.get("q_grams", i).alias("h"), i.alias("i")))))
+    starts = _with_equal_neighbour("q_whole", lambda x, y: x["h"] == y["h"], lambda x: x["i"])
     covered = F.aggregate(
-        starts,
+        F.sort_array(starts),
         F.struct(F.lit(-3).alias("last"), F.lit(0).alias("n")),
         lambda acc, i: F.struct(i.alias("last"), (acc["n"] + F.least(F.lit(3), i - acc["last"])).alias("n")),
         lambda acc: acc["n"],
     )
-    return F.when(F.size(F.array_distinct(grams)) < F.size(grams), covered).otherwise(0).cast("long")
+    rows = rows.withColumn("n_repeat_words", F.coalesce(covered, F.lit(0)).cast("long"))
+    return rows.drop("q_grams", "q_packed", "q_alike", "q_whole")
 
 
 def measured(rows: DataFrame, text: Column) -> DataFrame:
@@ -58,16 +62,16 @@ def measured(rows: DataFrame, text: Column) -> DataFrame:
         F.sequence(F.lit(0), F.size(words) - 3), lambda i: F.xxhash64(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2))
     )
     rows = rows.withColumn("q_grams", F.when(F.size(words) >= 3, grams).otherwise(F.array().cast("array<bigint>")))
-    return rows.withColumns(
+    rows = rows.withColumns(
         {
             "n_words": F.size(words).cast("long"),
             "word_chars": F.length(F.array_join(words, "")).cast("long"),
             "n_symbols": (F.length("q_text") - F.length(F.regexp_replace("q_text", r"[#*$%&|<>]", ""))).cast("long"),
             "n_lines": F.size("q_lines").cast("long"),
             "n_dup_lines": (F.size("q_lines") - F.size(F.array_distinct("q_lines"))).cast("long"),
-            "n_repeat_words": _repeat_words(F.col("q_grams")),
         }
-    ).drop("q_text", "q_lines", "q_words", "q_grams")
+    ).drop("q_text", "q_lines", "q_words")
+    return _with_repeat_words(rows)
 
 
 def host_verdicts(failures: DataFrame, limits: dict[str, float], max_strength: float = 1000.0) -> DataFrame:

@@ -14,6 +14,7 @@ from tidegauge.llm.packing import pack, tokenized_pieces
 from tidegauge.llm.quality import judge
 from tidegauge.llm.shared import read_table
 from tidegauge.llm.url_filter import judge_urls
+from tidegauge.llm.vectors import link_vectors
 from tidegauge.llm.warc import read_records, write_archives
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,6 +42,12 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict", "block_score")
 
 
+def op3_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all vectors."""
+    linked = link_vectors(read_table(spark, sf_dir, "embeddings"))
+    return linked.select("vec_id", "n_links", "component_id", "kept")
+
+
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that a mix of 150 % of all words takes of each document."""
     mixed = mix(read_table(spark, sf_dir, "documents"))
@@ -77,6 +84,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_url_filter": op2_url_filter,
+    "op3_near_vectors": op3_near_vectors,
     "op4_mix_sources": op4_mix_sources,
     "op5_warc": op5_warc,
     "op7_quality_rules": op7_quality_rules,

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidegauge.llm.html_text import extract_text
 from tidegauge.llm.language import held_out, identify, learn
+from tidegauge.llm.minhash import link_documents
 from tidegauge.llm.mixing import mix
 from tidegauge.llm.packing import pack, tokenized_pieces
 from tidegauge.llm.quality import judge
@@ -68,6 +69,12 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_near_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents whose 2-word shingles agree to 80 % or more."""
+    linked = link_documents(read_table(spark, sf_dir, "documents"), words=2, percent=80, carry=("doc_id",))
+    return linked.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of every page."""
     pages = read_table(spark, sf_dir, "pages").select("page_id", "url", "html")
@@ -88,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_mix_sources": op4_mix_sources,
     "op5_warc": op5_warc,
     "op7_quality_rules": op7_quality_rules,
+    "op8_near_documents": op8_near_documents,
     "op9_html_text": op9_html_text,
     "op10_language": op10_language,
 }

@@ -176,11 +176,13 @@ def _reader(folder: str, gap: int, run_bytes: int):
     return read
 
 
-def read_records(index: DataFrame, folder: str, *, gap: int = 64 << 10, run_bytes: int = 4 << 20) -> DataFrame:
+def read_records(index: DataFrame, folder: str, *, gap: int = 64 << 10, run_bytes: int = 4 << 20, task_bytes: int = 32 << 20) -> DataFrame:
     """The records of the (selected) index rows, read by runs of ranges at most ``gap`` apart and about ``run_bytes`` long.
 
     Returns RECORD; a revisit's payload is null, its digest and size are those of the payload it refers to.
     """
     ranges = index.select("archive", "offset", "length", "url")
-    ranges = ranges.repartitionByRange("archive", "offset").sortWithinPartitions("archive", "offset")
+    # Index rows are small and what they name is not, so the bytes to read decide the number of tasks.
+    total = index.agg(F.sum("length")).first()[0] or 0
+    ranges = ranges.repartitionByRange(total // task_bytes + 1, "archive", "offset").sortWithinPartitions("archive", "offset")
     return ranges.mapInArrow(_reader(folder, gap, run_bytes), RECORD)

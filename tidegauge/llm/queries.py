@@ -13,6 +13,7 @@ from tidegauge.llm.minhash import link_documents
 from tidegauge.llm.mixing import mix
 from tidegauge.llm.packing import pack, tokenized_pieces
 from tidegauge.llm.quality import judge
+from tidegauge.llm.repeats import remove_repeats
 from tidegauge.llm.shared import read_table
 from tidegauge.llm.url_filter import judge_urls
 from tidegauge.llm.vectors import link_vectors
@@ -61,6 +62,12 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_records(index, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op6_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without 200-byte strings that occur twice."""
+    left = remove_repeats(read_table(spark, sf_dir, "documents"), carry=("doc_id",), with_text=False)
+    return left.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Figures of each document, its own failures, and whether it and its host are kept."""
     judged = judge(read_table(spark, sf_dir, "documents"), carry=("doc_id",))
@@ -94,6 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_near_vectors": op3_near_vectors,
     "op4_mix_sources": op4_mix_sources,
     "op5_warc": op5_warc,
+    "op6_repeats": op6_repeats,
     "op7_quality_rules": op7_quality_rules,
     "op8_near_documents": op8_near_documents,
     "op9_html_text": op9_html_text,

@@ -74,12 +74,15 @@ class LeastHashes:
         return least, x
 
     def runs(self, text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Hash, first window, number of windows and weight of each run; weight 2 if its k-byte string may occur in it twice."""
+        """Hash, first window, number of windows and weight of each run.
+
+        The weight is 2 where the text has the least k-byte string twice: a run may then hold a window twice.
+        """
         least, own = self(text)
         cut = np.flatnonzero(np.concatenate([[True], least[1:] != least[:-1]]))
         length = np.diff(np.append(cut, len(least)))
-        again = np.add.reduceat((own[: len(least)] == least).astype(np.int64), cut) > 1
-        weight = 1 + (again | (length > self.window - self.k + 1))
+        own = np.sort(own)
+        weight = 1 + np.isin(least[cut], own[1:][own[1:] == own[:-1]])
         if (length > RUN_WINDOWS).any():
             parts = -(-length // RUN_WINDOWS)
             at = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)

@@ -8,8 +8,8 @@ Groups of a single run cannot hold a repeated window and end here; for the other
 
 *Construction.*  A task takes whole groups until ``collection_bytes`` and builds one collection's transform: each round
 inserts the next symbol, from the right, of every string at once, and carries the common prefixes of neighbours along.  Rounds
-read the transform and the prefixes from one pair of files in order and write the next pair.  A symbol is eight bytes; a
-string takes part once for each of the eight ways to align it, so all suffixes are in the transform.  Windows are repeated
+read the transform and the prefixes from one pair of files in order and write the next pair.  A symbol is ``symbol`` bytes
+(40 for windows of 200, told apart by 64-bit hashes); a string takes part once for each way to align it, so all suffixes are in the transform.  Windows are repeated
 where a neighbour shares a prefix of their length, or the whole string occurs twice.
 
 *Groups of any size.*  A group of more than ``group_bytes`` of distinct strings is dealt again by another hash, within each
@@ -34,7 +34,8 @@ from pyspark.sql import functions as F
 
 from tidegauge.llm.shared import shielded, staged, unshielded
 
-SYMBOL = 8
+#: Bytes of a symbol: the first of these that divides the window.
+SYMBOLS = (40, 20, 16, 8)
 #: Longest run in windows; longer ones, which only periodic text has, are cut.
 RUN_WINDOWS = 200
 
@@ -111,25 +112,42 @@ def _range_minima(values: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np
     return out
 
 
+def _names(text: bytes, width: int, at: np.ndarray) -> tuple[int, np.ndarray]:
+    """Numbers for the ``width``-byte strings of the text that start ``at``, and how many there are.
+
+    Strings are told apart by 64-bit hashes of their bytes, eight at a time; a last part may overlap the one before.
+    """
+    raw = np.frombuffer(text + bytes(8), np.uint8)
+    eight = np.zeros(len(text), np.uint64)
+    for i in range(8):
+        eight |= raw[i : i + len(text)].astype(np.uint64) << np.uint64(8 * i)
+    value = np.zeros(len(text) - width + 1, np.uint64)
+    for i in [*range(0, width - 7, 8), *([width - 8] if width % 8 else [])]:
+        value = (value + eight[i : i + len(value)]) * np.uint64(0x9E3779B97F4A7C15)
+        value ^= value >> np.uint64(29)
+    every, number = np.unique(value[at], return_inverse=True)
+    return len(every), number
+
+
 def repeated_windows(strings: list[bytes], window: int, folder: str) -> list[np.ndarray]:
     """For each string, the starts of windows that also start elsewhere in the collection (any string, itself included)."""
-    depth = window // SYMBOL
-    parts, owner, ends = [], [], []
-    for i, s in enumerate(strings):
-        for shift in range(min(SYMBOL, max(0, len(s) - window + 1))):
-            stop = len(s) - shift
-            # Right to left: the column order of the rounds.
-            parts.append(np.frombuffer(s, "<u8", stop // SYMBOL, stop % SYMBOL)[::-1])
-            owner.append(i)
-            ends.append(stop)
-    out: list[list[np.ndarray]] = [[] for _ in strings]
-    if not parts:
+    symbol = next(q for q in SYMBOLS if window % q == 0)
+    depth = window // symbol
+    lengths = np.array(list(map(len, strings)))
+    offsets = np.cumsum(lengths) - lengths
+    # A string takes part once for each alignment that can hold a window; a document's symbols are read right to left.
+    aligned = np.clip(lengths - window + 1, 0, symbol)
+    owner = np.repeat(np.arange(len(strings)), aligned)
+    shift = np.arange(len(owner)) - np.repeat(np.cumsum(aligned) - aligned, aligned)
+    ends = lengths[owner] - shift
+    sizes = ends // symbol
+    if not len(sizes):
         return [np.empty(0, np.int64) for _ in strings]
-    sizes = np.array(list(map(len, parts)))
     first = np.cumsum(sizes) - sizes
-    every, symbols = np.unique(np.concatenate(parts), return_inverse=True)
+    column = np.arange(sizes.sum()) - np.repeat(first, sizes)
+    every, symbols = _names(b"".join(strings), symbol, np.repeat(offsets[owner] + ends, sizes) - symbol * (column + 1))
     # 0 ends a document; few symbols sort faster as 16 bits.
-    symbols = (symbols + 1).astype(np.uint16 if len(every) < 0xFFFF else np.uint32)
+    symbols = (symbols + 1).astype(np.uint16 if every < 0xFFFF else np.uint32)
     kind, m = symbols.dtype, len(sizes)
     files = [[os.path.join(folder, f"{name}{turn}") for name in ("bwt", "lcp")] for turn in (0, 1)]
     symbols[first].tofile(files[0][0])
@@ -175,14 +193,14 @@ def repeated_windows(strings: list[bytes], window: int, folder: str) -> list[np.
     rank = np.empty(len(bwt), np.int64)
     rank[order] = np.arange(len(bwt))
     ended = int((bwt == 0).sum())
-    place, ends, owner = np.arange(m), np.array(ends), np.array(owner)
+    place = np.arange(m)
     hits_owner, hits_start = [], []
     for j in range(1, sizes.max() + 1):
         active = np.flatnonzero(sizes >= j)
         place[active] = m + rank[place[active]] - ended
         hit = active[found[place[active]]]
         hits_owner.append(owner[hit])
-        hits_start.append(ends[hit] - SYMBOL * j)
+        hits_start.append(ends[hit] - symbol * j)
     hits_owner, hits_start = np.concatenate(hits_owner), np.concatenate(hits_start)
     sort = np.lexsort((hits_start, hits_owner))
     edges = np.searchsorted(hits_owner[sort], np.arange(len(strings) + 1))
@@ -401,7 +419,7 @@ def remove_repeats(
     ``kept_text`` keeps characters that a span covers only in part; the other columns are exact in bytes.  ``window`` is a
     multiple of eight.
     """
-    if window % SYMBOL or seed_bytes > window:
+    if window % 8 or seed_bytes > window:
         raise ValueError("window must be a multiple of eight and at least seed_bytes")
     rows, inner = shielded(documents)
     carried = {name: i for name, i in inner.items() if carry is None or name in carry}

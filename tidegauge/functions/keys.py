@@ -6,12 +6,20 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, functions as F
 
-NULL_TOKEN = r"'\0'"
+
+
+def joined(parts: Sequence[str]) -> str:
+    """SQL text that joins the parts so that no two lists of parts give the same text.
+
+    Each part carries its length; NULL has none, so it differs from every text.
+    """
+    marked = [f"coalesce(concat(length(cast({p} as string)), ':', cast({p} as string)), 'null')" for p in parts]
+    return f"concat_ws('|', {', '.join(marked)})"
 
 
 def surrogate_id(*keys: str) -> Column:
-    """60-bit id from the MD5 of the joined key parts (fits a BIGINT)."""
-    return F.expr(f"cast(conv(substring(md5(concat_ws('|', {', '.join(keys)})), 1, 15), 16, 10) as bigint)")
+    """60-bit id from the MD5 of the key parts (fits a BIGINT)."""
+    return F.expr(f"cast(conv(substring(md5({joined(keys)}), 1, 15), 16, 10) as bigint)")
 
 
 def instance_key(server: str, instance: str) -> Column:
@@ -21,5 +29,4 @@ def instance_key(server: str, instance: str) -> Column:
 
 def row_hash(columns: Sequence[str]) -> Column:
     """Hash of a row for change detection; NULL and '' hash differently."""
-    parts = ", ".join(f"coalesce(cast({c} as string), {NULL_TOKEN})" for c in columns)
-    return F.expr(f"md5(concat_ws('|', {parts}))")
+    return F.expr(f"md5({joined(columns)})")

@@ -61,7 +61,8 @@ def with_previous_snapshot(
     """Adds ``prev_<value>``: the value of the same key at the previous snapshot of the instance.
 
     Needs the columns of ``snapshot_sequence`` (``prev_snapshot``, ``next_snapshot``).  NULL when the
-    key has no row at exactly that snapshot, however many older rows it has.
+    key has no row at exactly that snapshot, however many older rows it has.  Repeated rows of a key
+    and snapshot give one row.
 
     One shuffle by (cluster, stretch), where ``cluster`` defaults to the keys.  A row whose next
     snapshot lies in a later stretch is also sent there, to be seen by ``lag``, and dropped again.
@@ -76,5 +77,12 @@ def with_previous_snapshot(
     ).repartition(*cluster, "_chunk")
     over = f"over (partition by {', '.join(dict.fromkeys([*cluster, *keys]))}, _chunk order by snapshot_date)"
     adjacent = f"lag(snapshot_date) {over} = prev_snapshot"
-    looked_up = placed.selectExpr("*", *[f"if({adjacent}, lag({v}) {over}, null) as prev_{v}" for v in values])
-    return looked_up.where(f"_chunk = {home}")
+    # A sample delivered twice must not find itself: one row per key and snapshot, the largest values, goes on.
+    # Clustering and order are those of the look-back, so this costs no exchange and no other sort.
+    same = ", ".join([*dict.fromkeys([*cluster, *keys]), "_chunk", "snapshot_date"])
+    largest = ", ".join(f"{v} desc" for v in values)
+    once = placed.selectExpr("*", f"row_number() over (partition by {same} order by {largest}) as _copy")
+    looked_up = once.where("_copy = 1").selectExpr(
+        "*", *[f"if({adjacent}, lag({v}) {over}, null) as prev_{v}" for v in values]
+    )
+    return looked_up.where(f"_chunk = {home}").drop("_copy")

@@ -483,7 +483,10 @@ def raw_config(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(1).alias("socket_count"),
         (F.when(day < 15, 64).otherwise(128) * F.lit(1 << 20)).cast("bigint").alias("physical_memory_kb"),
         F.lit(256 << 20).cast("bigint").alias("virtual_memory_kb"),
-        F.lit("Telemetry Server 16.0.4095.4 (X64) on Linux").alias("file_version"),
+        # Patches differ beyond the 30th character only.
+        F.concat(
+            F.lit("Telemetry Server 16.0.4095.4 (X64) on Linux, patch "), F.floor(day / 9).cast("int").cast("string")
+        ).alias("file_version"),
         F.lit("16.0.4095.4").alias("instance_version"),
         F.when(spread == 0, 5).otherwise(3).alias("engine_edition_code"),
         F.lit("Developer Edition").alias("edition"),

@@ -185,7 +185,7 @@ _CTES["io_seq"] = (("raw_io",), _SEQUENCE.format(source="raw_io"))
 _CTES["selection"] = (
     ("raw_counters",),
     """
-  SELECT CAST('0x' || substr(md5(concat_ws('|', ok, ck, ik)), 1, 15) AS BIGINT) AS inst_perf_param_id,
+  SELECT CAST('0x' || substr(md5(concat_ws('|', length(ok) || ':' || ok, length(ck) || ':' || ck, length(ik) || ':' || ik)), 1, 15) AS BIGINT) AS inst_perf_param_id,
          object_nm, counter_nm, instance_nm, counter_type, CAST(0 AS BIGINT) AS parent_param_id, false AS log_ind,
          ok, ck, ik
   FROM (
@@ -203,7 +203,7 @@ _CTES["built"] = (
     """
   SELECT * FROM selection
   UNION ALL
-  SELECT CAST('0x' || substr(md5(concat_ws('|', lower(o), lower(c), lower(i))), 1, 15) AS BIGINT),
+  SELECT CAST('0x' || substr(md5(concat_ws('|', length(o) || ':' || lower(o), length(c) || ':' || lower(c), length(i) || ':' || lower(i))), 1, 15) AS BIGINT),
          o, c, i, -1, CAST(0 AS BIGINT), false, lower(o), lower(c), lower(i)
   FROM (VALUES
     ('Custom:IO','Physical Reads','Total'),('Custom:IO','Physical Writes','Total'),('Custom:IO','SQL IO Util','Total'),
@@ -340,7 +340,11 @@ _DELTA = """
 _CTES["waits"] = (("kept_waits", "seq"), _DELTA.format(source="kept_waits"))
 _CTES["quiet"] = (
     ("raw_waits",),
-    "SELECT wait_type FROM raw_waits GROUP BY wait_type HAVING AVG(CASE WHEN req < 10 THEN 1 ELSE 0 END) > 0.06",
+    """
+  SELECT wait_type FROM (
+    SELECT wait_type, low * COUNT(*) OVER () > SUM(low) OVER () AS listed
+    FROM (SELECT wait_type, SUM(CASE WHEN req < 10 THEN 1 ELSE 0 END) AS low FROM raw_waits GROUP BY wait_type) t) l
+  WHERE listed""",
 )
 _CTES["kept_custom"] = (
     ("raw_waits", "quiet"),
@@ -510,7 +514,7 @@ _CTES["config"] = (
          CAST(CASE WHEN day(snapshot_date) < 12 + instance_id % 4 THEN 8 WHEN day(snapshot_date) < 22 THEN 16 ELSE 8 END
            AS INT) AS logical_proc_count,
          CAST(CASE WHEN day(snapshot_date) < 15 THEN 6400 ELSE 12800 END AS BIGINT) AS physical_memory_gb,
-         substr('Telemetry Server 16.0.4095.4 (X64) on Linux', 1, 30) AS file_version,
+         'Telemetry Server 16.0.4095.4 (X64) on Linux, patch ' || CAST(day(snapshot_date) // 9 AS INT) AS file_version,
          CASE WHEN instance_id % 4 = 0 THEN 'SQL Database' ELSE 'Enterprise' END AS engine_edition,
          CAST(48 AS INT) AS committed_target_gb
   FROM (SELECT DISTINCT CAST(user_id // 10 AS INT) AS instance_id, CAST(CAST(ts AS DATE) AS TIMESTAMP) AS snapshot_date
@@ -521,10 +525,10 @@ _CTES["config"] = (
 def _changes(source: str) -> str:
     return f"""
   SELECT * EXCLUDE (was) FROM (
-    SELECT c.*, LAG(logical_proc_count || '|' || physical_memory_gb)
+    SELECT c.*, LAG(logical_proc_count || '|' || physical_memory_gb || '|' || file_version)
                   OVER (PARTITION BY instance_id ORDER BY snapshot_date) AS was
     FROM {source} c) x
-  WHERE was IS DISTINCT FROM (logical_proc_count || '|' || physical_memory_gb)"""
+  WHERE was IS DISTINCT FROM (logical_proc_count || '|' || physical_memory_gb || '|' || file_version)"""
 
 
 _CTES["resource"] = (
@@ -852,7 +856,8 @@ FROM (
     "performance_report_from_views": _sql(_REPORT, "ratios", "memory", "throughput", "waittime"),
     "config_change_log": _sql(f"SELECT {_CONFIG} FROM ({_changes('config')}) c", "config"),
     "config_latest": _sql(
-        f"""SELECT {_CONFIG}, md5(concat_ws('|', instance_nm, CAST(logical_proc_count AS VARCHAR), engine_edition))
+        f"""SELECT {_CONFIG}, md5(concat_ws('|', length(instance_nm) || ':' || instance_nm,
+         length(CAST(logical_proc_count AS VARCHAR)) || ':' || logical_proc_count, length(engine_edition) || ':' || engine_edition))
          AS short_hash
 FROM config c WHERE snapshot_date = (SELECT MAX(snapshot_date) FROM config m WHERE m.instance_id = c.instance_id)""",
         "config",
@@ -873,7 +878,7 @@ GROUP BY 1, 2""",
     ),
     "config_attributes_pivot": _sql(
         """SELECT instance_id, snapshot_date, file_version, '16.0.4095.4' AS instance_version, server_nm AS os_version
-FROM (SELECT * REPLACE ('Telemetry Server 16.0.4095.4 (X64) on Linux' AS file_version) FROM config) c""",
+FROM config c""",
         "config",
     ),
     "resource_new_rows": _sql(f"{_RESOURCE} WHERE end_time >= TIMESTAMP '2024-01-16 00:00:00'", "resource"),

@@ -1,13 +1,11 @@
 from __future__ import annotations
 
-from datetime import timedelta
-
 from samples import at, counters, params
 
 import tidegauge as tg
 from tidegauge.sources.constants import AVERAGE, BASE, CUSTOM, RATE
-from tidegauge.streaming.deltas import counter_delta_stream
-from tidegauge.streaming.windows import dedup_resources, windowed_report
+from tidegauge.streaming.deltas import counter_delta_stream, read_counter_deltas, read_late_samples
+from tidegauge.streaming.windows import archive_resources_stream, dedup_resources, windowed_report
 from workload.staging import run_stream
 
 
@@ -42,32 +40,30 @@ def test_stream_equals_batch(spark, tmp_path):
         spark, [(1, "R", RATE, 0), (2, "C", CUSTOM, 0), (3, "Average T (ms)", AVERAGE, 0), (4, "Average T base", BASE, 3)]
     )
     parts = [counters(spark, [r for r in rows if a <= r[0] < b]) for a, b in ((0, 9), (9, 10), (10, 30), (30, 99))]
-    stream = run_stream(spark, counter_delta_stream(feed(spark, tmp_path / "in", parts), dim), "out")
-    assert snap_rows(stream) == snap_rows(tg.counter_delta(counters(spark, rows), dim))
-    assert stream.agg({"late_samples": "max"}).first()[0] == 0
+    folder = str(tmp_path / "out")
+    counter_delta_stream(feed(spark, tmp_path / "in", parts), dim, folder)
+    assert snap_rows(read_counter_deltas(spark, folder)) == snap_rows(tg.counter_delta(counters(spark, rows), dim))
+    assert read_late_samples(spark, folder).count() == 0
 
 
-def test_late_samples_are_counted_not_used(spark, tmp_path):
+def test_late_samples_are_counted_and_used(spark, tmp_path):
     dim = params(spark, [(1, "C", CUSTOM, 0)])
     parts = [counters(spark, [(h, 0, "C", 10 * h, CUSTOM)]) for h in (1, 3, 2, 4)]
-    stream = run_stream(spark, counter_delta_stream(feed(spark, tmp_path / "in", parts), dim), "out")
-    got = sorted((r.snapshot_date, int(r.instance_perf_value), r.late_samples) for r in stream.collect())
-    assert got == [(at(1), 10, 0), (at(3), 20, 0), (at(4), 10, 1)]
-
-
-def test_silent_families_are_forgotten(spark, tmp_path):
-    dim = params(spark, [(1, "C", CUSTOM, 0), (2, "D", CUSTOM, 0)])
-    parts = [
-        counters(spark, [(1, 0, "C", 10, CUSTOM), (1, 0, "D", 5, CUSTOM)]),
-        counters(spark, [(2, 0, "D", 8, CUSTOM)]),
-        counters(spark, [(30, 0, "D", 9, CUSTOM)]),
-        counters(spark, [(31, 0, "D", 11, CUSTOM)]),
-        counters(spark, [(32, 0, "C", 50, CUSTOM), (32, 0, "D", 12, CUSTOM)]),
-    ]
-    stream = counter_delta_stream(feed(spark, tmp_path / "in", parts), dim, forget_after=timedelta(hours=24))
-    got = {(r.inst_perf_param_id, r.snapshot_date): (int(r.instance_perf_value), r.startup_measure_ind) for r in run_stream(spark, stream, "out").collect()}
-    assert got[(1, at(32))] == (50, True)  # silent since 1
-    assert got[(2, at(2))] == (3, False) and got[(2, at(31))] == (2, False) and got[(2, at(32))] == (1, False)
+    folder = str(tmp_path / "out")
+    counter_delta_stream(feed(spark, tmp_path / "in", parts), dim, folder)
+    got = sorted((r.snapshot_date, int(r.instance_perf_value)) for r in read_counter_deltas(spark, folder).collect())
+    assert got == [(at(1), 10), (at(2), 10), (at(3), 10), (at(4), 10)]
+    assert [(r.instance_id, r.late_samples, r.batch) for r in read_late_samples(spark, folder).collect()] == [(1, 1, 2)]
+
+
+def test_counter_and_base_in_different_triggers(spark, tmp_path):
+    dim = params(spark, [(3, "Average T (ms)", AVERAGE, 0), (4, "Average T base", BASE, 3)])
+    counter = [(h, 0, "Average T (ms)", 100 * h, AVERAGE) for h in (1, 2)]
+    bases = [(h, 0, "Average T base", 10 * h, BASE) for h in (1, 2)]
+    parts = [[counter[0]], [counter[1]], bases, bases]
+    folder = str(tmp_path / "out")
+    counter_delta_stream(feed(spark, tmp_path / "in", [counters(spark, p) for p in parts]), dim, folder)
+    assert snap_rows(read_counter_deltas(spark, folder)) == snap_rows(tg.counter_delta(counters(spark, counter + bases), dim))
 
 
 def test_sliding_report_closes_windows(spark, tmp_path):
@@ -90,3 +86,12 @@ def test_repeated_gauges_enter_once(spark, tmp_path):
         (1, at(2)),
         (2, at(2)),
     ]
+
+
+def test_gauges_hours_late_enter_the_archive(spark, tmp_path):
+    schema = "instance_id int, end_time timestamp_ntz, avg_cpu_percent int"
+    parts = [[(1, at(50), 5)], [(1, at(50), 5), (1, at(1), 6)], [(2, at(30), 7), (1, at(1), 6)]]
+    stream = feed(spark, tmp_path / "in", [spark.createDataFrame(p, schema) for p in parts])
+    archive_resources_stream(stream, ["instance_id", "end_time"], str(tmp_path / "out"))
+    rows = spark.read.schema(schema).parquet(f"{tmp_path}/out/archive").collect()
+    assert sorted((r.instance_id, r.end_time) for r in rows) == [(1, at(1)), (1, at(50)), (2, at(30))]

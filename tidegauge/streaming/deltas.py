@@ -1,137 +1,111 @@
-"""Cumulative counters to interval values over a stream of samples.
+"""Cumulative counters to interval values over a stream of samples: the batch operator, trigger by trigger.
 
-State is one small row per counter family (a counter and its base): the last totals, when they were
-sampled, and the server start they belong to.
+A trigger stores its samples, finds the snapshots that they touch (their own, and the ones right after them) and computes
+those anew with ``counter_delta`` from the stored samples of these snapshots and of the ones before.  So a sample may come
+late, twice, or in another trigger than its base or its neighbours: the result is that of one batch over everything
+that has arrived.
 """
 
 from __future__ import annotations
 
-import sys
-from collections.abc import Iterator
-from datetime import timedelta
-from decimal import Decimal
-from itertools import groupby
-
-import pandas as pd
-from pyspark import cloudpickle
-from pyspark.sql import DataFrame, functions as F, types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-
-from ..operators.counters import match_counters
-from ..schemas import PERF_SNAP
-from ..sources.constants import AVERAGE, DIFFERENCED, RATE
-
-STATE = T.StructType(
-    [
-        T.StructField("snapshot_us", T.LongType()),
-        T.StructField("started_us", T.LongType()),
-        T.StructField("ids", T.ArrayType(T.LongType())),
-        T.StructField("totals", T.ArrayType(T.LongType())),
-        T.StructField("late", T.LongType()),
-    ]
-)
-OUTPUT = T.StructType([*PERF_SNAP.fields, T.StructField("late_samples", T.LongType())])
-_SAMPLE = ("snapshot_us", "started_us", "inst_perf_param_id", "counter_type", "is_base", "total")
-_SECOND = 1_000_000
-
-# Executors get the functions of this module with the query and need not have the package installed.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
+from datetime import date
+
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql.streaming import StreamingQuery
+
+from ..functions.time import snapshot_day
+from ..operators.counters import counter_delta
+from ..operators.sequence import snapshot_sequence
+from ..operators.series import CHUNK_DAYS
+from ..schemas import COUNTER_SAMPLES, PERF_SNAP
+
+_BATCH = T.StructField("batch", T.LongType())
+_DAY = T.StructField("snapshot_day", T.DateType())
+_AT = ("instance_id", "snapshot_date")
+LATE = "instance_id int, late_samples bigint, batch bigint"
 
 
 def counter_delta_stream(
     samples: DataFrame,
     params: DataFrame,
+    folder: str,
     *,
     base: str = "interval",
-    forget_after: timedelta | None = None,
-    late_after: str = "10 minutes",
-) -> DataFrame:
-    """``counter_delta`` over a stream: append-mode ``perf_snap`` rows plus ``late_samples``.
-
-    Each sample is compared with the family's last one, wherever in the stream that was; a family
-    without state starts with a first measure.  Samples at or before the family's last snapshot are
-    not used, and counted in ``late_samples`` (total so far of the family).
-
-    forget_after  drop the state of a family silent for that long, so retired servers free theirs; if
-                  it comes back it starts with a first measure.  Time then follows the samples'
-                  watermark, and samples more than ``late_after`` behind it are dropped uncounted.
+    on_reset: str = "keep",
+    parity: bool = False,
+    chunk_days: int = CHUNK_DAYS,
+) -> StreamingQuery:
+    """Runs ``counter_delta`` over a stream of counter samples until its input is used up.
+
+    ``folder`` (shared by all executors) keeps the samples by trigger and day, the snapshots seen, the results and the
+    counts of late samples; ``read_counter_deltas`` and ``read_late_samples`` read them.  Each trigger writes only
+    folders of its own number, so a trigger that is run again after a failure replaces what it wrote.
     """
-    forget_ms = None if forget_after is None else int(forget_after.total_seconds() * 1000)
-
-    def advance(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        instance_id, _ = key
-        rows = sorted(r for b in batches for r in zip(*[b[c].tolist() for c in _SAMPLE]))
-        last, started, ids, values, late = state.get if state.exists else (None, None, [], [], 0)
-        totals = dict(zip(ids, values))
-        out = []
-        for (snapshot, begun), members in groupby(rows, key=lambda r: r[:2]):
-            members = list(members)
-            if last is not None and snapshot <= last:
-                late += len(members)
-                continue
-            first = last is None or begun != started
-            interval = snapshot // _SECOND - (begun if first else last) // _SECOND
-            for param, value, total in _measure(members, {} if first else totals, first, interval, base):
-                out.append((instance_id, snapshot, param, _cents(value), _cents(100 * total), first, interval))
-            last, started, totals = snapshot, begun, {m[2]: m[5] for m in members}
-        if last is not None:
-            state.update((last, started, list(totals), list(totals.values()), late))
-            if forget_ms is not None:
-                state.setTimeoutTimestamp(max(last // 1000 + forget_ms, state.getCurrentWatermarkMs() + 1))
-        frame = pd.DataFrame(out, columns=PERF_SNAP.fieldNames())
-        frame["snapshot_date"] = pd.to_datetime(frame["snapshot_date"], unit="us")
-        yield frame.assign(late_samples=late)
-
-    timed = samples
-    if forget_ms is not None:
-        timed = samples.withColumn("_at", F.col("snapshot_date").cast("timestamp")).withWatermark("_at", late_after)
-    clock = ["_at"] if forget_ms is not None else []
-    keyed = match_counters(timed, params, keep=("instance_started", *clock)).selectExpr(
-        "instance_id",
-        "_family",
-        f"{_micros('snapshot_date')} as snapshot_us",
-        f"{_micros('instance_started')} as started_us",
-        "inst_perf_param_id",
-        "counter_type",
-        "_is_base as is_base",
-        "total",
-        *clock,
+
+    def advance(arrived: DataFrame, batch: int) -> None:
+        spark = arrived.sparkSession
+        arrived.select(*COUNTER_SAMPLES.fieldNames()).withColumn("snapshot_day", snapshot_day()).write.mode(
+            "overwrite"
+        ).partitionBy("snapshot_day").parquet(f"{folder}/samples/batch={batch}")
+        stored = _stored(spark, f"{folder}/samples", T.StructType([*COUNTER_SAMPLES.fields, _DAY]), batch)
+        new = stored.where(F.col("batch") == batch)
+        points = new.groupBy(*_AT).agg(F.max("instance_started").alias("instance_started"), F.count("*").alias("n"))
+        points.write.mode("overwrite").parquet(f"{folder}/spine/batch={batch}")
+        spine = _stored(spark, f"{folder}/spine", _schema("instance_id int, snapshot_date timestamp_ntz, instance_started timestamp_ntz, n bigint"), batch)
+        changed = spine.where(F.col("batch") == batch)
+
+        before = spine.where(F.col("batch") < batch).groupBy("instance_id").agg(F.max("snapshot_date").alias("_last"))
+        late = changed.join(before, "instance_id").where("snapshot_date <= _last").groupBy("instance_id")
+        late.agg(F.sum("n").alias("late_samples")).write.mode("overwrite").parquet(f"{folder}/late/batch={batch}")
+
+        # One row per poll, so the order of all snapshots of the instances at hand stays cheap.
+        history = spine.join(changed.select("instance_id").distinct(), "instance_id", "left_semi")
+        sequence = snapshot_sequence(history, parity=parity, chunk_days=chunk_days)
+        own = changed.select(*_AT).distinct()
+        following = sequence.join(own.withColumnRenamed("snapshot_date", "prev_snapshot"), ["instance_id", "prev_snapshot"], "left_semi")
+        touched = own.unionByName(following.select(*_AT)).distinct()
+        touched = sequence.join(touched, list(_AT), "left_semi")
+        needed = touched.select(*_AT).unionByName(
+            touched.where("prev_snapshot is not null").selectExpr("instance_id", "prev_snapshot as snapshot_date")
+        )
+        # The days of the needed snapshots prune the stored samples.
+        first, last = needed.agg(F.min(snapshot_day()), F.max(snapshot_day())).first()
+        around = stored.where(F.col("snapshot_day").between(first or date.min, last or date.min))
+        context = around.join(needed.distinct(), list(_AT), "left_semi")
+        delta = counter_delta(
+            context, params, sequence=sequence, base=base, on_reset=on_reset, parity=parity, chunk_days=chunk_days
+        )
+        delta.join(touched.select(*_AT), list(_AT), "left_semi").write.mode("overwrite").parquet(
+            f"{folder}/perf_snap/batch={batch}"
+        )
+
+    query = (
+        samples.writeStream.foreachBatch(advance)
+        .option("checkpointLocation", f"{folder}/checkpoint")
+        .trigger(availableNow=True)
+        .start()
     )
-    timeout = GroupStateTimeout.NoTimeout if forget_ms is None else GroupStateTimeout.EventTimeTimeout
-    return keyed.groupBy("instance_id", "_family").applyInPandasWithState(advance, OUTPUT, STATE, "append", timeout)
+    query.awaitTermination()
+    return query
 
 
-def _micros(c: str) -> str:
-    """Wall-clock microseconds since 1970, whatever the session zone."""
-    return f"unix_timestamp({c}) * 1000000 + cast(extract(second from {c}) * 1000000 as bigint) % 1000000"
+def read_counter_deltas(spark: SparkSession, folder: str) -> DataFrame:
+    """``perf_snap`` rows as of the last trigger: each snapshot as it was last computed."""
+    rows = _stored(spark, f"{folder}/perf_snap", PERF_SNAP)
+    last = rows.groupBy(*_AT).agg(F.max("batch").alias("batch"))
+    return rows.join(last, [*_AT, "batch"], "left_semi").drop("batch")
 
 
-def _measure(members: list[tuple], before: dict, first: bool, interval: int, base: str) -> list[tuple]:
-    """(counter, hundredths, total) of one family at one snapshot; ``before`` holds its last totals."""
-    gains = {m[2]: m[5] if first else m[5] - before.get(m[2], 0) for m in members}
-    divisors = [gains[m[2]] if base == "interval" else m[5] for m in members if m[4]]
-    measured = []
-    for _, _, param, kind, _, total in members:
-        value = 100 * total
-        if kind == AVERAGE:
-            value = _quotient(gains[param], max(divisors, default=0) or 1)
-        elif kind == RATE and not first:
-            value = _quotient(gains[param], interval) if interval else None
-        elif kind in DIFFERENCED and not first:
-            value = 100 * gains[param]
-        if value is not None:
-            measured.append((param, value, total))
-    return measured
+def read_late_samples(spark: SparkSession, folder: str) -> DataFrame:
+    """How many samples of each trigger were at or before their instance's newest snapshot; they are used all the same."""
+    return spark.read.schema(_schema(LATE)).parquet(f"{folder}/late")
 
 
-def _quotient(num: int, den: int) -> int:
-    """Hundredths of ``num / den``, rounded half up."""
-    rounded = (200 * abs(num) + abs(den)) // (2 * abs(den))
-    return -rounded if (num < 0) != (den < 0) else rounded
+def _schema(text: str) -> T.StructType:
+    return T.StructType.fromDDL(text)
 
 
-def _cents(value: int) -> Decimal:
-    return Decimal(value).scaleb(-2)
+def _stored(spark: SparkSession, path: str, schema: T.StructType, until: int | None = None) -> DataFrame:
+    """What the triggers up to ``until`` wrote."""
+    rows = spark.read.schema(T.StructType([*schema.fields, _BATCH])).parquet(path)
+    return rows if until is None else rows.where(F.col("batch") <= until)

@@ -9,6 +9,9 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from ..operators.archive import new_rows
 
 
 def windowed_report(
@@ -45,3 +48,28 @@ def dedup_resources(rows: DataFrame, keys: Sequence[str], *, time: str = "end_ti
     """First row per key within the watermark, for appending to the resource archive."""
     timed = rows.withColumn("_at", F.col(time).cast("timestamp")).withWatermark("_at", late_after)
     return timed.dropDuplicatesWithinWatermark(list(keys)).drop("_at")
+
+
+def archive_resources_stream(rows: DataFrame, keys: Sequence[str], folder: str) -> StreamingQuery:
+    """Appends rows whose key the archive does not hold, however late they come, until the input is used up.
+
+    The archive lies in ``folder`` by trigger; a trigger compares with what earlier ones wrote and writes only its
+    own part, so one that is run again after a failure replaces what it wrote.
+    """
+    schema = rows.schema
+
+    def advance(arrived: DataFrame, batch: int) -> None:
+        fresh = arrived.dropDuplicates(list(keys))
+        if batch:
+            parts = [f"{folder}/archive/batch={b}" for b in range(batch)]
+            fresh = new_rows(fresh, arrived.sparkSession.read.schema(schema).parquet(*parts), keys)
+        fresh.write.mode("overwrite").parquet(f"{folder}/archive/batch={batch}")
+
+    query = (
+        rows.writeStream.foreachBatch(advance)
+        .option("checkpointLocation", f"{folder}/checkpoint")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return query

@@ -669,39 +669,6 @@ _CTES["breaches"] = (
 
 # ---- streams -------------------------------------------------------------------------------------
 
-# Looks back to the family's last snapshot instead of the instance's.
-_CTES["family"] = (
-    ("raw_counters", "dim"),
-    """
-  SELECT x.*, COALESCE(NULLIF(parent_param_id, 0), inst_perf_param_id) AS fam FROM (
-    SELECT r.instance_id, r.snapshot_date, r.instance_started, d.inst_perf_param_id, d.counter_type, d.parent_param_id,
-           abs(r.cntr_value) AS total
-    FROM raw_counters r JOIN dim d
-      ON d.ok = lower(rtrim(r.object_name)) AND d.ck = lower(rtrim(r.counter_name)) AND d.ik = lower(rtrim(r.instance_name))
-    WHERE d.log_ind) x""",
-)
-_CTES["family_seq"] = (
-    ("family",),
-    """
-  SELECT *, COALESCE(was_started <> instance_started, true) AS first_measure,
-         CAST(date_diff('second', CASE WHEN COALESCE(was_started <> instance_started, true)
-                                       THEN instance_started ELSE was END, snapshot_date) AS INT) AS interval_s
-  FROM (
-    SELECT d.*, LAG(snapshot_date) OVER w AS was, LAG(instance_started) OVER w AS was_started
-    FROM (SELECT DISTINCT instance_id, fam, snapshot_date, instance_started FROM family) d
-    WINDOW w AS (PARTITION BY instance_id, fam ORDER BY snapshot_date)) q""",
-)
-_CTES["family_gained"] = (
-    ("family", "family_seq"),
-    """
-  SELECT c.*, q.first_measure, q.interval_s,
-         CASE WHEN q.first_measure THEN c.total ELSE c.total - COALESCE(p.total, 0) END AS gain
-  FROM family c JOIN family_seq q USING (instance_id, fam, snapshot_date)
-  LEFT JOIN family p ON p.instance_id = c.instance_id AND p.inst_perf_param_id = c.inst_perf_param_id
-    AND p.snapshot_date = q.was""",
-)
-_CTES["family_perf"] = (("family_gained",), _CTES["perf"][1].replace("FROM gained", "FROM family_gained").replace("JOIN gained", "JOIN family_gained"))
-
 # ---- the queries ---------------------------------------------------------------------------------
 
 _ARCHIVE_CUTOFF = "TIMESTAMP '2024-01-16 12:00:00'"
@@ -962,7 +929,7 @@ FROM drives d JOIN (SELECT instance_id, COUNT(*) AS breaching FROM breaches GROU
 GROUP BY 1, 2""",
         "breaches",
     ),
-    "stream_counter_delta": _sql(_SNAP.format(source="family_perf"), "family_perf"),
+    "stream_counter_delta": _sql(_SNAP.format(source="perf"), "perf"),
     "stream_report_window": """
 SELECT window_start, window_start + INTERVAL 30 MINUTE AS window_end, event_type, COUNT(*) AS events,
        CAST(SUM(CAST(ROUND(value * 100) AS BIGINT)) AS BIGINT) AS cents

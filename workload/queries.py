@@ -20,12 +20,12 @@ from tidegauge.plans.report import snapshot_report_from_views
 from tidegauge.plans.views import BY
 from tidegauge.schemas import IO_MEASURES
 from tidegauge.sources.constants import AVERAGE, BASE, CUSTOM, RATE, RATIO
-from tidegauge.streaming.deltas import counter_delta_stream
-from tidegauge.streaming.windows import dedup_resources, windowed_report
+from tidegauge.streaming.deltas import counter_delta_stream, read_counter_deltas
+from tidegauge.streaming.windows import archive_resources_stream, windowed_report
 
 from . import derived
 from .derived import GAUGE
-from .staging import read_stream_of, run_stream, staged
+from .staging import read_stream_in_any_order, run_stream, shared_folder, staged
 
 Query = Callable[[SparkSession, str], DataFrame]
 DB = ("database_name",)
@@ -34,7 +34,6 @@ IO_START, IO_END = datetime(1996, 6, 1), datetime(1998, 2, 1)
 ARCHIVE_ASOF, ARCHIVE_DAYS = datetime(2024, 1, 30, 12), 14
 REINITIALIZED_AT = "2024-01-20 08:00:00"
 DRIVE_THRESHOLD = 20
-STREAM_CUTS = ("2024-01-09 00:00:00", "2024-01-16 12:00:00", "2024-01-23 00:00:00")
 
 
 def hundredths(c: str) -> str:
@@ -516,18 +515,12 @@ def _drive_columns(df: DataFrame) -> DataFrame:
 
 
 def stream_counter_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All logged counters, as a stream over stored samples."""
+    """All logged counters, as a stream over stored samples that arrive in any order, some of them twice."""
     stored, params = _counters(spark, sf_dir)
     params = staged(spark, params, "counter_dimension")
-    samples = read_stream_of(
-        spark,
-        stored,
-        "counters",
-        time="snapshot_date",
-        keys=["instance_id", "object_name", "instance_name"],
-        cuts=STREAM_CUTS,
-    )
-    return _snap_columns(run_stream(spark, counter_delta_stream(samples, params), "counter_delta"))
+    folder = shared_folder(spark)
+    counter_delta_stream(read_stream_in_any_order(spark, stored, "counters", triggers=4), params, folder)
+    return _snap_columns(read_counter_deltas(spark, folder))
 
 
 def stream_report_window(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -543,7 +536,9 @@ def stream_resource_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.floor(F.col("user_id") / 10).cast("int").alias("instance_id"),
         (F.col("ts").cast("date").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.hour("ts"))).alias("end_time"),
     )
-    return run_stream(spark, dedup_resources(events, ["instance_id", "end_time"]), "resource_dedup")
+    folder = shared_folder(spark)
+    archive_resources_stream(events, ["instance_id", "end_time"], folder)
+    return spark.read.schema(events.schema).parquet(f"{folder}/archive")
 
 
 def read_events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,12 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidegauge.functions.time import ts
-
 
 def shared_folder(spark: SparkSession) -> str:
     """A fresh folder under the cluster's checkpoint directory."""
@@ -28,25 +25,12 @@ def staged(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def read_stream_of(
-    spark: SparkSession, df: DataFrame, name: str, *, time: str, keys: Sequence[str], cuts: Sequence[str]
-) -> DataFrame:
-    """``df`` as a stream that delivers one stretch of time per trigger.
-
-    The stretches, divided at ``cuts``, are written one after another, each clustered by ``keys``: the
-    rows of a key then arrive in time order although a file source orders by file age only.
-    """
+def read_stream_in_any_order(spark: SparkSession, df: DataFrame, name: str, *, triggers: int) -> DataFrame:
+    """``df`` as a stream of files that hold rows of all keys and times, some files per trigger."""
     path = f"{shared_folder(spark)}/{name}"
     files = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    bounds = [None, *cuts, None]
-    for start, end in zip(bounds, bounds[1:]):
-        stretch = df
-        if start is not None:
-            stretch = stretch.where(F.col(time) >= ts(start))
-        if end is not None:
-            stretch = stretch.where(F.col(time) < ts(end))
-        stretch.repartition(files, *keys).write.mode("append").parquet(path)
-    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", files).parquet(path)
+    df.repartition(files, F.xxhash64(*df.columns)).write.parquet(path)
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", -(-files // triggers)).parquet(path)
 
 
 def run_stream(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame:

@@ -538,7 +538,7 @@ def stream_resource_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     folder = shared_folder(spark)
     archive_resources_stream(events, ["instance_id", "end_time"], folder)
-    return spark.read.schema(events.schema).parquet(f"{folder}/archive")
+    return spark.read.schema(events.schema).parquet(f"{folder}/archive").select(*events.columns)
 
 
 def read_events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,11 +5,13 @@ from __future__ import annotations
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F, types as T
 from samples import at, waits
 
 import tidegauge as tg
+from tidegauge.schemas import SNAPSHOTS
 from tidegauge.sources.readers import read_catalog, read_io_stats, read_snapshots
-from tidegauge.sources.sinks import append_dimension, append_missing, append_snapshots, archive_move
+from tidegauge.sources.sinks import KEYS, append_dimension, append_missing, append_snapshots, archive_move
 
 
 def summary(spark, hours=range(0, 96, 6)):
@@ -103,3 +105,37 @@ def test_run_monitors_writes_what_it_can(spark, tmp_path):
     assert list(results) == ["wait_summary"] and results["wait_summary"].count() == 1
     append_dimension(tg.innocuous_waits(spark), str(tmp_path / "names"))
     assert spark.read.parquet(str(tmp_path / "names")).count() == 104
+
+
+def test_every_kind_is_stored_and_read_back(spark, tmp_path):
+    for kind, keys in KEYS.items():
+        schema = SNAPSHOTS[kind]
+        time = "end_time" if "end_time" in keys else "snapshot_date"
+        text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
+        value = {"timestamp_ntz": None, "string": "x", "boolean": "true"}
+        rows = [tuple(str(at(h)) if f.name == time else value.get(f.dataType.simpleString(), "1") for f in schema.fields) for h in (1, 30)]
+        plain = spark.createDataFrame(rows, text).withColumn(time, F.col(time).cast("timestamp_ntz"))
+        if kind == "table_usage":
+            plain = plain.withColumn("column_count", F.col("column_count").cast("bigint"))
+        path = str(tmp_path / kind)
+        append_snapshots(plain, path, kind=kind)
+        append_missing(plain, path, kind=kind)
+        assert read_snapshots(spark, kind, path).count() == 2, kind
+        assert read_snapshots(spark, kind, path, start=at(20), end=at(40)).count() == 1, kind
+
+
+def test_catalog_rows_are_dated_by_the_caller(spark, tmp_path):
+    schema = SNAPSHOTS["file_usage"]
+    row = spark.createDataFrame([(1, "db", "f")], "instance_id int, database_name string, logical_file_name string")
+    append_snapshots(row, str(tmp_path / "u"), kind="file_usage", asof=at(5))
+    assert [r.snapshot_date for r in read_snapshots(spark, "file_usage", str(tmp_path / "u")).collect()] == [at(5)]
+    assert "snapshot_date" in schema.fieldNames()
+
+
+def test_catalog_history_stays_apart(spark):
+    dates = [at(1), at(30)]
+    files = spark.createDataFrame([(1, "db", d, 1, "f", "ROWS", "p", "ONLINE", 128, 64) for d in dates], "instance_id int, database_name string, snapshot_date timestamp_ntz, data_space_id int, name string, type_desc string, physical_name string, state_desc string, size bigint, used bigint")
+    spaces = spark.createDataFrame([(1, "db", d, 1, "PRIMARY") for d in dates], "instance_id int, database_name string, snapshot_date timestamp_ntz, data_space_id int, name string")
+    assert tg.file_usage(files, spaces).count() == 2
+    units = spark.createDataFrame([(1, "db", d, 7, 1, 4, 4) for d in dates], "instance_id int, database_name string, snapshot_date timestamp_ntz, container_id bigint, data_space_id int, total_pages bigint, used_pages bigint")
+    assert [r.total_pages for r in tg.container_rollup(units).collect()] == [4, 4]

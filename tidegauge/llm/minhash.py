@@ -6,9 +6,9 @@ Two documents of similarity s meet in some table with the probability that two s
 0.9996 for c = 20, rows = 4 at s = 0.8, more above.  Pairs are formed only from sub-keys that at least two documents have,
 which leaves out most documents without a near copy before the tables.
 
-Documents with equal sets are one class first.  In each bucket the members are compared with one of them, the links
-join components, and only buckets that still hold several components go on: there the members of different components are
-compared in blocks of about ``block_shingles``, pairs of blocks by tasks of their own that return a spanning forest.  So a
+Documents with equal sets are one class first.  In each bucket the members are compared with one of them, the hub; the links
+join components, and only hubs whose buckets still hold several components go on: there the members of different components
+are compared in blocks of about ``block_shingles``, pairs of blocks by tasks of their own that return a spanning forest.  So a
 bucket of thousands of copies needs one comparison each, no pair of different components is left out, and no link is taken
 without its whole sets.
 
@@ -237,23 +237,25 @@ def link_documents(
 
     # First each bucket's smallest class with all others.
     hubs = members.groupBy(F.col("bucket").alias("hub_bucket")).agg(F.min(F.struct("class", "n")).alias("hub"))
-    pairs = members.join(hubs, F.col("bucket") == F.col("hub_bucket")).select(F.col("hub.class").alias("a"), F.col("class").alias("b"), F.col("hub.n").alias("n_a"), "n")
-    pairs = staged(pairs.filter((F.col("a") != F.col("b")) & near_in_size("n_a", "n")).select("a", "b").distinct(), "minhash-pairs")
+    around = members.join(hubs, F.col("bucket") == F.col("hub_bucket")).select(F.col("hub.class").alias("hub"), F.col("hub.n").alias("hub_n"), "class", "n")
+    around = staged(around.distinct(), "minhash-hubs")
+    pairs = around.filter((F.col("hub") != F.col("class")) & near_in_size("hub_n", "n")).select(F.col("hub").alias("a"), F.col("class").alias("b"))
     links = staged(confirmed(pairs), "minhash-links")
     groups = connected_components(links)
-    # Then, in buckets that still hold several components, the members of different ones, block by block.
-    live = members.join(groups, F.col("class") == F.col("node"), "left").select("bucket", "class", "n", F.coalesce("component", "class").alias("component"))
+    # Then, where the members of a hub's buckets are still of several components, those of different ones, block by block.
+    # All buckets with one hub are one group, so a class that meets a hub in many tables is there once.
+    live = around.join(groups, F.col("class") == F.col("node"), "left").select("hub", "class", "n", F.coalesce("component", "class").alias("component"))
     weight = F.sum(F.col("n") + block_shingles // 2000)
-    several = live.groupBy(F.col("bucket").alias("live_bucket")).agg(
+    several = live.groupBy(F.col("hub").alias("live_hub")).agg(
         F.min("component").alias("c0"), F.max("component").alias("c1"), F.ceil(weight / block_shingles).cast("int").alias("blocks")
     )
-    live = live.join(several.filter("c0 <> c1").select("live_bucket", "blocks"), F.col("bucket") == F.col("live_bucket"))
-    live = staged(live.withColumn("own", F.pmod(F.xxhash64("class", "bucket"), F.col("blocks")).cast("int")).drop("live_bucket"), "minhash-live")
+    live = live.join(several.filter("c0 <> c1").select("live_hub", "blocks"), F.col("hub") == F.col("live_hub"))
+    live = staged(live.withColumn("own", F.pmod(F.xxhash64("class", "hub"), F.col("blocks")).cast("int")).drop("live_hub"), "minhash-live")
     as_first = F.transform(F.sequence("own", F.col("blocks") - 1), lambda j: F.struct(F.col("own").alias("i"), j.alias("j"), F.lit(0).alias("side")))
     as_second = F.transform(F.sequence(F.lit(0), F.col("own") - 1), lambda i: F.struct(i.alias("i"), F.col("own").alias("j"), F.lit(1).alias("side")))
     paired = live.withColumn("pair", F.explode(F.when(F.col("own") > 0, F.concat(as_first, as_second)).otherwise(as_first)))
-    paired = paired.select("bucket", "pair.*", "class", "component").join(texts.withColumnRenamed("class", "t_class"), F.col("class") == F.col("t_class"))
-    more = paired.groupBy("bucket", "i", "j").applyInPandas(_block_links(words, percent), "a bigint, b bigint")
+    paired = paired.select("hub", "pair.*", "class", "component").join(texts.withColumnRenamed("class", "t_class"), F.col("class") == F.col("t_class"))
+    more = paired.groupBy("hub", "i", "j").applyInPandas(_block_links(words, percent), "a bigint, b bigint")
     more = staged(more.distinct(), "minhash-links")
     stars = groups.select(F.col("node").alias("a"), F.col("component").alias("b"))
     groups = connected_components(stars.unionByName(more))

@@ -78,10 +78,11 @@ def test_harmonic_classes():
         assert sum(lengths) == n and max(lengths) <= 4096 and min(lengths) > 0
 
 
-@pytest.mark.parametrize("text", ["A\u0301b \u0301x", "It's I'LL don't", "<|endoftext|>x<|endof text|>", "a\x1c\x85c \u03a3\u0391\u03a3", "\r\n\t  ", "\u65e5\u672c\uff11\uff12 \u0130I"])
+@pytest.mark.parametrize("text", ["A\u0301b \u0301x", "It's I'LL don't", "<|endoftext|>x<|endof text|>", "a\x1c\x85c \u03a3\u0391\u03a3", "\r\n\t  ", "\u65e5\u672c\uff11\uff12 \u0130I", "Stra\u00dfe, \u0130stanbul! don't. x's* (a) b\u0301. \u01c4 \ufb01", "a-b c_d e&f, 'll. 12. \u0f0b\u0e01\u0e33"])
 def test_words_are_tokenized_as_whole_texts(text):
-    got = np.frombuffer(packing.WordTokens(TOKENIZER, remembered=2)(text), "<u4").tolist()
-    assert got == Tokenizer.from_file(TOKENIZER).encode(text, add_special_tokens=False).ids
+    tokens, want = packing.WordTokens(TOKENIZER, remembered=2), Tokenizer.from_file(TOKENIZER).encode(text, add_special_tokens=False).ids
+    for texts in ([text], ["other Words, here.", text], [text, text]):
+        assert np.frombuffer(tokens(texts)[-1], "<u4").tolist() == want
 
 
 # Mixing

@@ -44,30 +44,81 @@ def piece_lengths(n: int, capacity: int, cuts: int, least: int) -> list[int]:
 class WordTokens:
     """Ids of texts as little-endian unsigned 32-bit integers.
 
-    The tokenizer's rules never join what blanks and line ends part, so texts are split there and the ids of each part are
-    remembered: ``remembered`` of them at most, after which the memory starts anew.
+    The tokenizer's rules never join what blanks and line ends part, so texts are split there, and the ids of each part are
+    remembered: ``remembered`` parts, and those of the generation before.  New words of letters are tokenized together,
+    as a token tells whether it ends a word.
     """
 
-    def __init__(self, path: str, remembered: int = 200_000):
+    #: Marks that the tokenizer parts from letters before them (not the apostrophe, which it may join to letters).
+    MARKS = ".,;:!?*$%&#|<>()[]{}-_=+/@~^\""
+
+    def __init__(self, path: str, remembered: int = 400_000):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.remembered = Tokenizer.from_file(path), remembered
         self.known: dict[str, bytes] = {"": b""}
-
-    def __call__(self, text: str) -> bytes:
-        parts = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-        known = self.known
-        try:
-            return b"".join(map(known.__getitem__, parts))
-        except KeyError:
-            new = list({p for p in parts if p not in known})
-        if len(known) + len(new) > self.remembered:
-            known.clear()
-            known[""] = b""
-            new = list(set(parts) - {""})
-        for part, got in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
+        self.before: dict[str, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        split = [self._parts(t) for t in texts]
+        missing = set().union(*split).difference(self.known)
+        if missing:
+            if len(self.known) > self.remembered:
+                missing = set().union(*split)
+                self.before, self.known = self.known, {"": b""}
+            self._learn(missing)
+        return [b"".join(map(self.known.__getitem__, parts)) for parts in split]
+
+    @staticmethod
+    def _parts(text: str) -> list[str]:
+        if "<|" not in text:  # the marks of special tokens, which have no capitals
+            text = text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")
+        return text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
+
+    def _learn(self, missing: set[str]) -> None:
+        known, before, marks = self.known, self.before, self.MARKS
+        for part in missing.intersection(before):
+            known[part] = before[part]
+        letters, rest, two = [], [], []
+        for part in missing.difference(known):
+            if part.isalpha():
+                letters.append(part)
+                continue
+            word = part.rstrip(marks)
+            if word.isalpha():
+                two.append((part, word, part[len(word) :]))
+            else:
+                rest.append(part)
+        have = set(letters).union(known)
+        letters += {word for _, word, _ in two}.difference(have)
+        rest += {end for _, _, end in two}.difference(known, rest)
+        ids = np.asarray(self.tokenizer.encode_batch_fast([" ".join(letters)], add_special_tokens=False)[0].ids, "<u4")
+        stops = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+        if len(stops) == len(letters):
+            raw = ids.tobytes()
+            known.update(zip(letters, map(raw.__getitem__, map(slice, [0, *stops], stops))))
+        else:  # some letter is not one to the tokenizer
+            rest += letters
+        for part, got in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
             known[part] = np.asarray(got.ids, "<u4").tobytes()
-        return b"".join(map(known.__getitem__, parts))
+        for part, word, end in two:
+            known[part] = known[word] + known[end]
+
+
+def _in_pieces(rows, chars: int = 2_000_000):
+    """Lists of rows ``(id, text)`` of about so many characters."""
+    held, size = [], 0
+    for doc_id, text in rows:
+        held.append((doc_id, text or ""))
+        size += len(text or "")
+        if size >= chars:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
 
 
 def _cutter(path: str, end_id: int, capacity: int, cuts: int, least: int):
@@ -75,14 +126,15 @@ def _cutter(path: str, end_id: int, capacity: int, cuts: int, least: int):
         tokens, end = WordTokens(path), np.asarray([end_id], "<u4").tobytes()
         for batch in batches:
             out: list[list[int | None]] = [[], [], [], [], []]
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                ids = tokens(text or "") + end
-                n, start = len(ids) // 4, 0
-                for length in piece_lengths(n, capacity, cuts, least):
-                    crc = zlib.crc32(ids[4 * start : 4 * (start + length)])
-                    for column, value in zip(out, (doc_id, start, length, crc, n)):
-                        column.append(value)
-                    start += length
+            for held in _in_pieces(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
+                for (doc_id, _), ids in zip(held, tokens([text for _, text in held])):
+                    ids += end
+                    n, start = len(ids) // 4, 0
+                    for length in piece_lengths(n, capacity, cuts, least):
+                        crc = zlib.crc32(ids[4 * start : 4 * (start + length)])
+                        for column, value in zip(out, (doc_id, start, length, crc, n)):
+                            column.append(value)
+                        start += length
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
 
     return cut

@@ -10,7 +10,7 @@ import pytest
 
 from tidegauge.llm import html_text, url_filter, vectors, warc
 from tidegauge.llm.components import connected_components
-from tidegauge.llm.queries import QUERIES, URL_RULES
+from tidegauge.llm.queries import ORACLE_SQL, QUERIES, URL_RULES
 
 PAGES = "page_id long, url string, html string, host string, text string, rule string, payload int"
 
@@ -195,6 +195,13 @@ def test_registered_queries(spark, sf_dir):
         assert QUERIES[name](spark, sf_dir).count() == spark.read.parquet(f"{sf_dir}/{table}.parquet").count()
 
 
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
+def test_query_equals_sql(spark, sf_dir, name):
+    from compare import compare
+
+    assert compare(spark, sf_dir, QUERIES[name], ORACLE_SQL[name]) is None
+
+
 def test_pipeline(spark, sf_dir):
     import corpus_pipeline
 

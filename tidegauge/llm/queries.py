@@ -108,4 +108,64 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_language": op10_language,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+_RATE = "({r} + k_{r} * m_{r}) / (n_docs + k_{r})"
+_STRENGTH = "least(greatest(CASE WHEN v_{r} > 0 THEN m_{r} * (1 - m_{r}) / v_{r} - 1 ELSE 1000 END, 1), 1000) AS k_{r}"
+_RULES = ("few_words", "repetitive", "symbols", "repeated_lines")
+
+#: What SQL can say.  The others learn, cut text, build files or search by hashing; tests hold them against brute force.
+ORACLE_SQL: dict[str, str] = {
+    "op3_near_vectors": """
+WITH RECURSIVE unit AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL),
+links AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM unit a JOIN unit b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.93),
+reach AS (SELECT x, y FROM links UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x)
+SELECT e.vec_id, COALESCE(n, 0) AS n_links, LEAST(e.vec_id, COALESCE(least_id, e.vec_id)) AS component_id,
+       e.vec_id <= COALESCE(least_id, e.vec_id) AS kept
+FROM embeddings e LEFT JOIN (SELECT x, COUNT(*) AS n FROM links GROUP BY x) c ON c.x = e.vec_id
+LEFT JOIN (SELECT x, MIN(y) AS least_id FROM reach GROUP BY x) r ON r.x = e.vec_id""",
+    "op5_warc": """
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN first_id <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first_id <> page_id THEN first_id END AS refers_to
+FROM (
+  SELECT page_id, octet_length(encode(COALESCE(html, ''))) AS payload_bytes, sha256(COALESCE(html, '')) AS payload_digest,
+         CASE WHEN octet_length(encode(COALESCE(html, ''))) >= 100 THEN MIN(page_id) OVER (PARTITION BY COALESCE(html, '')) END
+           AS first_id
+  FROM pages) p""",
+    "op7_quality_rules": f"""
+WITH docs AS (SELECT *, row_number() OVER () AS row FROM documents),
+words AS (SELECT row, {_WORDS} AS words FROM docs),
+grams AS (
+  SELECT row, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] AS gram
+  FROM (SELECT row, words, unnest(range(1, len(words) - 1)) AS i FROM words) g),
+again AS (SELECT row, i FROM (SELECT *, COUNT(*) OVER (PARTITION BY row, gram) AS n FROM grams) g WHERE n > 1),
+covered AS (SELECT row, COUNT(DISTINCT i + k) AS n FROM again, (SELECT unnest([0, 1, 2]) AS k) t GROUP BY row),
+lines AS (
+  SELECT row, COUNT(*) AS n_lines, COUNT(*) - COUNT(DISTINCT line) AS n_dup_lines
+  FROM (SELECT row, unnest(string_split(COALESCE(text, ''), chr(10))) AS line FROM docs) l
+  WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY row),
+measured AS (
+  SELECT d.row, doc_id, source, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars,
+         length(COALESCE(text, '')) - length(regexp_replace(COALESCE(text, ''), '[#*$%&|<>]', '', 'g')) AS n_symbols,
+         COALESCE(n_dup_lines, 0) AS n_dup_lines, COALESCE(n_lines, 0) AS n_lines, COALESCE(c.n, 0) AS n_repeat_words
+  FROM docs d JOIN words USING (row) LEFT JOIN lines USING (row) LEFT JOIN covered c USING (row)),
+judged AS (
+  SELECT *, CAST(n_words < 50 AS INT) AS few_words, CAST(100 * n_repeat_words > 50 * n_words AS INT) AS repetitive,
+         CAST(10 * n_symbols > word_chars AS INT) AS symbols, CAST(2 * n_dup_lines > n_lines AS INT) AS repeated_lines
+  FROM measured),
+hosts AS (
+  SELECT source AS host, COUNT(*) AS n_docs, {", ".join(f"SUM({r}) AS {r}" for r in _RULES)}
+  FROM judged WHERE source IS NOT NULL GROUP BY 1),
+means AS (SELECT *, {", ".join(f"SUM({r}) OVER () / SUM(n_docs) OVER () AS m_{r}" for r in _RULES)} FROM hosts),
+spreads AS (
+  SELECT *, {", ".join(f"SUM(n_docs * ({r} / n_docs - m_{r}) * ({r} / n_docs - m_{r})) OVER () / SUM(n_docs) OVER () AS v_{r}" for r in _RULES)}
+  FROM means),
+priors AS (SELECT *, {", ".join(_STRENGTH.format(r=r) for r in _RULES)} FROM spreads),
+verdicts AS (SELECT host, {" AND ".join(_RATE.format(r=r) + " <= 0.8" for r in _RULES)} AS host_kept FROM priors)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, few_words + repetitive > 0 AS base_failed,
+       COALESCE(host_kept, true) AS host_kept, few_words + repetitive = 0 AND COALESCE(host_kept, true) AS kept
+FROM judged LEFT JOIN verdicts ON host = source""",
+}

@@ -10,6 +10,7 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 
 from pyspark.sql import SparkSession
@@ -46,6 +47,7 @@ def main() -> None:
         .config("spark.sql.shuffle.partitions", cpus if cpus.isdigit() else "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "16g")
+        .config("spark.checkpoint.dir", os.environ.get("BENCH_SHARED_DIR", tempfile.mkdtemp(prefix="bench-")))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

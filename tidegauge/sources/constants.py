@@ -58,33 +58,111 @@ WAIT_CATEGORY_RULES = (
 UNCATEGORISED_WAIT = "HADR_BACKUP_QUEUE"
 
 # ---- fixed values: wait types that say nothing about load ----------------------------------
-INNOCUOUS_WAITS = tuple(
-    """
-    BROKER_EVENTHANDLER BROKER_RECEIVE_WAITFOR BROKER_TASK_STOP BROKER_TO_FLUSH BROKER_TRANSMITTER
-    CHECKPOINT_QUEUE CHKPT CLR_AUTO_EVENT CLR_MANUAL_EVENT CLR_SEMAPHORE
-    DBMIRROR_DBM_EVENT DBMIRROR_EVENTS_QUEUE DBMIRROR_WORKER_QUEUE DBMIRRORING_CMD DIRTY_PAGE_POLL
-    DISPATCHER_QUEUE_SEMAPHORE EXECSYNC FSAGENT FT_IFTS_SCHEDULER_IDLE_WAIT FT_IFTSHC_MUTEX
-    HADR_CLUSAPI_CALL HADR_FABRIC_CALLBACK HADR_FILESTREAM_IOMGR_IOCOMPLETION HADR_LOGCAPTURE_WAIT
-    HADR_NOTIFICATION_DEQUEUE HADR_TIMER_TASK HADR_WORK_QUEUE KSOURCE_WAKEUP LAZYWRITER_SLEEP LOGMGR_QUEUE
-    MEMORY_ALLOCATION_EXT MSQL_XP ONDEMAND_TASK_QUEUE PARALLEL_BACKUP_QUEUE PARALLEL_REDO_DRAIN_WORKER
-    PARALLEL_REDO_LOG_CACHE PARALLEL_REDO_TRAN_LIST PARALLEL_REDO_WORKER_SYNC PARALLEL_REDO_WORKER_WAIT_WORK
-    PREEMPTIVE_HTTP_REQUEST PREEMPTIVE_ODBCOPS PREEMPTIVE_OS_CLOSEHANDLE PREEMPTIVE_OS_CRYPTACQUIRECONTEXT
-    PREEMPTIVE_OS_CRYPTOPS PREEMPTIVE_OS_DELETESECURITYCONTEXT PREEMPTIVE_OS_DISCONNECTNAMEDPIPE
-    PREEMPTIVE_OS_FINDFILE PREEMPTIVE_OS_FLUSHFILEBUFFERS PREEMPTIVE_OS_GETCOMPRESSEDFILESIZE
-    PREEMPTIVE_OS_GETPROCADDRESS PREEMPTIVE_OS_GETQUEUEDCOMPLETIONSTATUS PREEMPTIVE_OS_QUERYREGISTRY
-    PREEMPTIVE_OS_REVERTTOSELF PREEMPTIVE_RG_RESPONSEFROMSERVER PREEMPTIVE_XE_CALLBACKEXECUTE
-    PREEMPTIVE_XE_GETTARGETSTATE PVS_PREALLOCATE PWAIT_ALL_COMPONENTS_INITIALIZED
-    PWAIT_DIRECTLOGCONSUMER_GETNEXT PWAIT_EXTENSIBILITY_CLEANUP_TASK QDS_ASYNC_QUEUE
-    QDS_CLEANUP_STALE_QUERIES_TASK_MAIN_LOOP_SLEEP QDS_PERSIST_TASK_MAIN_LOOP_SLEEP QDS_SHUTDOWN_QUEUE
-    RBIO_AWAIT_RESPONSE RBIO_COMM_RETRY REDO_THREAD_PENDING_WORK REQUEST_FOR_DEADLOCK_SEARCH
-    RESERVED_MEMORY_ALLOCATION_EXT RESOURCE_GOVERNOR_IDLE RESOURCE_QUEUE SERVER_IDLE_CHECK SLEEP_BPOOL_FLUSH
-    SLEEP_DBSTARTUP SLEEP_DCOMSTARTUP SLEEP_MASTERDBREADY SLEEP_MASTERMDREADY SLEEP_MASTERUPGRADED
-    SLEEP_MSDBSTARTUP SLEEP_SYSTEMTASK SLEEP_TASK SLEEP_TEMPDBSTARTUP SNI_CONN_DUP SNI_HTTP_ACCEPT
-    SOS_WORK_DISPATCHER SP_SERVER_DIAGNOSTICS_SLEEP SQLTRACE_BUFFER_FLUSH SQLTRACE_INCREMENTAL_FLUSH_SLEEP
-    SQLTRACE_WAIT_ENTRIES SQP_STATS_REPORTING VDI_CLIENT_OTHER WAIT_FOR_RESULTS WAIT_XTP_CKPT_CLOSE
-    WAIT_XTP_HOST_WAIT WAIT_XTP_OFFLINE_CKPT_NEW_LOG WAIT_XTP_RECOVERY WAITFOR WAITFOR_TASKSHUTDOWN
-    WINFAB_API_CALL XE_DISPATCHER_JOIN XE_DISPATCHER_WAIT XE_FILE_TARGET_TVF XE_LIVE_TARGET_TVF XE_TIMER_EVENT
-    """.split()
+INNOCUOUS_WAITS = (
+    "BROKER_EVENTHANDLER",
+    "BROKER_RECEIVE_WAITFOR",
+    "BROKER_TASK_STOP",
+    "BROKER_TO_FLUSH",
+    "BROKER_TRANSMITTER",
+    "CHECKPOINT_QUEUE",
+    "CHKPT",
+    "CLR_AUTO_EVENT",
+    "CLR_MANUAL_EVENT",
+    "CLR_SEMAPHORE",
+    "DBMIRROR_DBM_EVENT",
+    "DBMIRROR_EVENTS_QUEUE",
+    "DBMIRROR_WORKER_QUEUE",
+    "DBMIRRORING_CMD",
+    "DIRTY_PAGE_POLL",
+    "DISPATCHER_QUEUE_SEMAPHORE",
+    "EXECSYNC",
+    "FSAGENT",
+    "FT_IFTS_SCHEDULER_IDLE_WAIT",
+    "FT_IFTSHC_MUTEX",
+    "HADR_CLUSAPI_CALL",
+    "HADR_FABRIC_CALLBACK",
+    "HADR_FILESTREAM_IOMGR_IOCOMPLETION",
+    "HADR_LOGCAPTURE_WAIT",
+    "HADR_NOTIFICATION_DEQUEUE",
+    "HADR_TIMER_TASK",
+    "HADR_WORK_QUEUE",
+    "KSOURCE_WAKEUP",
+    "LAZYWRITER_SLEEP",
+    "LOGMGR_QUEUE",
+    "MEMORY_ALLOCATION_EXT",
+    "MSQL_XP",
+    "ONDEMAND_TASK_QUEUE",
+    "PARALLEL_BACKUP_QUEUE",
+    "PARALLEL_REDO_DRAIN_WORKER",
+    "PARALLEL_REDO_LOG_CACHE",
+    "PARALLEL_REDO_TRAN_LIST",
+    "PARALLEL_REDO_WORKER_SYNC",
+    "PARALLEL_REDO_WORKER_WAIT_WORK",
+    "PREEMPTIVE_HTTP_REQUEST",
+    "PREEMPTIVE_ODBCOPS",
+    "PREEMPTIVE_OS_CLOSEHANDLE",
+    "PREEMPTIVE_OS_CRYPTACQUIRECONTEXT",
+    "PREEMPTIVE_OS_CRYPTOPS",
+    "PREEMPTIVE_OS_DELETESECURITYCONTEXT",
+    "PREEMPTIVE_OS_DISCONNECTNAMEDPIPE",
+    "PREEMPTIVE_OS_FINDFILE",
+    "PREEMPTIVE_OS_FLUSHFILEBUFFERS",
+    "PREEMPTIVE_OS_GETCOMPRESSEDFILESIZE",
+    "PREEMPTIVE_OS_GETPROCADDRESS",
+    "PREEMPTIVE_OS_GETQUEUEDCOMPLETIONSTATUS",
+    "PREEMPTIVE_OS_QUERYREGISTRY",
+    "PREEMPTIVE_OS_REVERTTOSELF",
+    "PREEMPTIVE_RG_RESPONSEFROMSERVER",
+    "PREEMPTIVE_XE_CALLBACKEXECUTE",
+    "PREEMPTIVE_XE_GETTARGETSTATE",
+    "PVS_PREALLOCATE",
+    "PWAIT_ALL_COMPONENTS_INITIALIZED",
+    "PWAIT_DIRECTLOGCONSUMER_GETNEXT",
+    "PWAIT_EXTENSIBILITY_CLEANUP_TASK",
+    "QDS_ASYNC_QUEUE",
+    "QDS_CLEANUP_STALE_QUERIES_TASK_MAIN_LOOP_SLEEP",
+    "QDS_PERSIST_TASK_MAIN_LOOP_SLEEP",
+    "QDS_SHUTDOWN_QUEUE",
+    "RBIO_AWAIT_RESPONSE",
+    "RBIO_COMM_RETRY",
+    "REDO_THREAD_PENDING_WORK",
+    "REQUEST_FOR_DEADLOCK_SEARCH",
+    "RESERVED_MEMORY_ALLOCATION_EXT",
+    "RESOURCE_GOVERNOR_IDLE",
+    "RESOURCE_QUEUE",
+    "SERVER_IDLE_CHECK",
+    "SLEEP_BPOOL_FLUSH",
+    "SLEEP_DBSTARTUP",
+    "SLEEP_DCOMSTARTUP",
+    "SLEEP_MASTERDBREADY",
+    "SLEEP_MASTERMDREADY",
+    "SLEEP_MASTERUPGRADED",
+    "SLEEP_MSDBSTARTUP",
+    "SLEEP_SYSTEMTASK",
+    "SLEEP_TASK",
+    "SLEEP_TEMPDBSTARTUP",
+    "SNI_CONN_DUP",
+    "SNI_HTTP_ACCEPT",
+    "SOS_WORK_DISPATCHER",
+    "SP_SERVER_DIAGNOSTICS_SLEEP",
+    "SQLTRACE_BUFFER_FLUSH",
+    "SQLTRACE_INCREMENTAL_FLUSH_SLEEP",
+    "SQLTRACE_WAIT_ENTRIES",
+    "SQP_STATS_REPORTING",
+    "VDI_CLIENT_OTHER",
+    "WAIT_FOR_RESULTS",
+    "WAIT_XTP_CKPT_CLOSE",
+    "WAIT_XTP_HOST_WAIT",
+    "WAIT_XTP_OFFLINE_CKPT_NEW_LOG",
+    "WAIT_XTP_RECOVERY",
+    "WAITFOR",
+    "WAITFOR_TASKSHUTDOWN",
+    "WINFAB_API_CALL",
+    "XE_DISPATCHER_JOIN",
+    "XE_DISPATCHER_WAIT",
+    "XE_FILE_TARGET_TVF",
+    "XE_LIVE_TARGET_TVF",
+    "XE_TIMER_EVENT",
 )
 # Spellings of three of the names above that exist only through a text-replacement accident.
 MISSPELLED_WAITS = (

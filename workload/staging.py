@@ -2,19 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A fresh folder under the cluster's checkpoint directory."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir is not set; name a folder all executors can reach")
-        root = tempfile.mkdtemp(prefix="tidegauge-")
+    """A fresh folder under the cluster's checkpoint directory, else beside the warehouse's tables: both are shared."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir") + "/scratch"
     return f"{root.rstrip('/')}/tidegauge-{uuid.uuid4().hex}"
 
 

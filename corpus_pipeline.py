@@ -27,8 +27,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group whose 5-word shingles agree to 80 % or more."""
-    return link_documents(docs).filter("kept").select(*_columns(docs))
+    """One row of each group whose 5-word shingles agree to 80 % or more, repeated rows and rows without an id too."""
+    return link_documents(docs, by_row=True).filter("kept").select(*_columns(docs))
 
 
 def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

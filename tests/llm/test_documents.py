@@ -243,6 +243,25 @@ def test_near_documents(spark, messy, real, nothing, words, block):
     assert minhash.link_documents(nothing).collect() == []
 
 
+def test_pipeline_keeps_one_row_of_each_group(spark, messy):
+    import corpus_pipeline
+
+    lost, edge = prose(120, 91), prose(150, 92)
+    rows = [*DOCUMENTS, *[(None, lost, "en", "a")] * 3, (None, lost + " end", "en", "b"), (30, edge, "en", "a"), (30, edge, "en", "b"), (None, edge + " end", "en", "c")]
+    frame = documents(spark, rows)
+    # Every row an id of its own, in the order that a group keeps: null ids last.
+    order = sorted(range(len(rows)), key=lambda i: (rows[i][0] is None, rows[i][0] or 0))
+    want, _ = brute_components([(rank, rows[i][1]) for rank, i in enumerate(order)], 5)
+    assert len(set(want)) < len(rows)
+    once = corpus_pipeline.near_duplicates(spark, frame, "")
+    kept = Counter(r.doc_id for r in once.collect())
+    assert kept == Counter(rows[order[c]][0] for c in set(want))
+    assert kept[12] == 1 and kept[30] == 1
+    left = [r.text for r in corpus_pipeline.repeated_strings(spark, once, "").collect()]
+    assert left.count(prose(30_000, 12)) == 1 and left.count(edge) == 1
+    assert sum(t in (lost, lost + " end") for t in left) == 1
+
+
 # Repeated strings
 
 

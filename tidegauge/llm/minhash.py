@@ -14,7 +14,8 @@ without its whole sets.
 
 Defined results: a null text, or one without words, has an empty set and links with nothing; documents with a null id belong
 to the class of their set, but a class without any id is linked with no other; repeated rows are one class; an empty table
-gives an empty result.  Input columns may have any names; an added column replaces one of the same name.
+gives an empty result.  Input columns may have any names; an added column replaces one of the same name.  With ``by_row`` rows
+count by themselves: equal and null ids are rows like others, and exactly one row of a component is kept.
 """
 
 from __future__ import annotations
@@ -204,17 +205,27 @@ def link_documents(
     rows: int = 4,
     block_shingles: int = 200_000,
     carry: tuple[str, ...] | None = None,
+    by_row: bool = False,
 ) -> DataFrame:
     """The input's columns (of these ``carry``, by default all), ``n_shingles, component_id, kept``.
 
     Links are pairs whose shingle sets have ``percent`` of their union in common; a component keeps its smallest id.
+    ``by_row`` keeps one row of it, and links rows without an id too: of the smallest id the row of the least text hash.
     """
     frame, inner = shielded(documents)
     carried = {name: i for name, i in inner.items() if carry is None or name in carry}
     base = frame.withColumns({"id": F.col(inner[id_col]), "text": F.col(inner[text_col]).cast("string")})
-    base = base.select(*carried.values(), "id", "text")
+    held = {**carried, text_col: inner[text_col]} if by_row else carried
+    base = base.select(*held.values(), "id", "text")
     schema = base.drop("text").schema.add("n_shingles", "long").add("digest", "binary").add("keys", ArrayType(LongType()))
-    signed = staged(base.mapInArrow(_signer(words, collection, rows), schema), "minhash-signed")
+    signed = base.mapInArrow(_signer(words, collection, rows), schema)
+    if by_row:
+        text = F.col(inner[text_col]).cast("string")
+        row = [F.col("id").isNull().alias("no_id"), "id", F.xxhash64(text).alias("hash"), F.monotonically_increasing_id().alias("row")]
+        signed = signed.withColumn("id", F.struct(*row))
+    signed = staged(signed, "minhash-signed")
+    if by_row:  # row numbers hold from here on
+        base = signed.select("id", text.alias("text"))
 
     classes = signed.filter("digest is not null").groupBy("digest").agg(
         F.first("n_shingles").alias("n"), F.min("id").alias("least_id"), F.count(F.lit(1)).alias("copies"), F.first("keys").alias("keys")
@@ -267,5 +278,7 @@ def link_documents(
     linked = staged(linked, "minhash-linked")
     out = signed.drop("keys").join(linked, F.col("digest") == F.col("k_digest"), "left")
     out = out.withColumn("component_id", F.coalesce("component_id", "id")).withColumn("kept", F.col("id").eqNullSafe(F.col("component_id")))
+    if by_row:
+        out = out.withColumn("component_id", F.col("component_id.id"))
     added = ["n_shingles", "component_id", "kept"]
     return out.select(*unshielded(carried, added), *added)

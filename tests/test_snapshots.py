@@ -73,6 +73,27 @@ def test_file_samples_of_server_and_cloud(spark):
     ]
 
 
+def test_file_samples_feed_io_delta_without_loss(spark, sf_dir):
+    from workload import derived
+
+    stats = derived.io_stats(spark, sf_dir).distinct().cache()
+    samples = tg.file_samples(stats, derived.io_databases(spark, sf_dir), derived.io_files(spark, sf_dir))
+    unknown = stats.where("edition_code = 5 and database_id = 2 and file_id > 2")
+    per_snapshot = unknown.groupBy("instance_id", "snapshot_date").count()
+    assert per_snapshot.where("count > 1").count() > 0  # several files share the label
+    sums = [f"sum({m})" for m in IO_MEASURES]
+    got = tg.io_delta(samples.unionAll(samples)).where("logical_filename = 'unk'")
+    totals = got.selectExpr("count(*)", *[f"sum(cumulative_{m})" for m in IO_MEASURES]).first()
+    assert tuple(totals) == tuple(unknown.selectExpr("count(*)", *sums).first())
+
+
+def test_files_of_one_label_have_their_own_differences(spark):
+    schema = IO + ", database_id int, file_id int"
+    rows = [(1, at(h), at(0), "tempdb", "unk", "unk", *[f * h] * 7, 1 << 30, 2, f) for h in (1, 2) for f in (3, 4, 5, 6)]
+    got = tg.io_delta(spark.createDataFrame([*rows, *rows], schema)).where("not first_measure_from_start").collect()
+    assert sorted(r.num_of_reads for r in got) == [3, 4, 5, 6]
+
+
 @pytest.mark.parametrize("chunk_days", [1, 100000])
 def test_configuration_log_keeps_returns(spark, chunk_days):
     rows = [(1, at(24 * d), 8 if d in (0, 1, 4, 5) else 16) for d in range(6)] + [(2, at(24), 8), (2, at(48), 8)]

@@ -61,6 +61,8 @@ IO_SAMPLES = _schema(
     ("db_file_type", _TEXT),
     *((m, _LONG) for m in IO_MEASURES),
     ("size_on_disk_bytes", _LONG),
+    ("database_id", _INT),
+    ("file_id", _INT),
 )
 DATABASES = _schema(("instance_id", _INT), ("database_id", _INT), ("name", _TEXT), ("state_desc", _TEXT))
 DATABASE_FILES = _schema(

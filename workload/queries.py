@@ -268,7 +268,7 @@ def wait_archive_move(spark: SparkSession, sf_dir: str) -> DataFrame:
 def io_file_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tg.file_samples(
         derived.io_stats(spark, sf_dir), derived.io_databases(spark, sf_dir), derived.io_files(spark, sf_dir)
-    ).drop("instance_started")
+    ).drop("instance_started", "database_id", "file_id")
 
 
 def io_interval(spark: SparkSession, sf_dir: str) -> DataFrame:

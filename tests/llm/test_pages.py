@@ -132,6 +132,32 @@ def test_site_templates(spark):
     assert html_text.extract_text(pages(spark, [])).collect() == []
 
 
+def test_copies_of_a_page_are_no_template(spark):
+    def distinct(host, n, at):
+        return [(at + i, f"http://{host}/x", f"<body><ul><li>Home</li><li>Top</li></ul><div><p>story {i} of {host}</p></div></body>") for i in range(n)]
+
+    rows = [(i, f"http://a.com/{i}", f"<head><title>{i}</title></head><body><div class=c{i}><div><p>text of the copy</p></div></div></body>") for i in range(20)]
+    rows += [(100 + i, "http://b.com/x", "<article><section><p>first</p></section><section><p>again</p></section></article><p>outside</p>") for i in range(20)]
+    rows += distinct("c.com", 10, 200) + [(300 + i, "http://c.com/y", "<body><ul><li>Home</li><li>Top</li></ul><div><h2>copied</h2><p>in a third of all rows</p></div></body>") for i in range(5)]
+    # A story that five other pages quote is still the text of its own page.
+    rows += [(400 + i, "http://d.com/x", f"<body><div><p>quoted one</p><p>quoted two</p></div><div><p>a far longer text of the page number {i}</p></div></body>") for i in range(9)]
+    rows += [(500, "http://d.com/q", "<body><div><p>quoted one</p><p>quoted two</p></div><p>by me</p></body>")]
+    got = {r.page_id: r.text for r in html_text.extract_text(pages(spark, rows)).collect()}
+    assert {got[i] for i in range(20)} == {"text of the copy"}
+    assert {got[100 + i] for i in range(20)} == {"first\n\nagain"}
+    assert [got[200 + i] for i in range(10)] == [f"story {i} of c.com" for i in range(10)]
+    assert {got[300 + i] for i in range(5)} == {"copied\n\nin a third of all rows"}
+    assert got[403] == "a far longer text of the page number 3"
+    assert got[500] == "quoted one\n\nquoted two\n\nby me"
+
+
+def test_an_emptied_article_gives_no_text_from_outside(spark):
+    rows = [(i, "http://a.com/x", f"<article><div><p>sign in</p></div><div><p>to go on</p></div></article><p>page {i}</p>") for i in range(20)]
+    rows += [(100 + i, "http://a.com/y", f"<article><div><p>sign in</p></div><div><p>to go on</p></div><p>a long text of its own, page {i}</p></article>") for i in range(20)]
+    got = {r.page_id: r.text for r in html_text.extract_text(pages(spark, rows)).collect()}
+    assert got[3] == "to go on" and got[103] == "a long text of its own, page 3"
+
+
 def test_long_and_broken_markup():
     assert html_text.Page("<div>" * 3000 + "x").text() == "x"
     assert html_text.Page("<" * 20_000).text() != ""

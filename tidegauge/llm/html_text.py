@@ -1,13 +1,14 @@
 """Main text of web pages: site templates are found by counting element subtrees per host.
 
-One pass hashes the subtrees of every page and counts, per host, the pages that hold each; subtrees found in many of a host's
-pages are its template.  A second pass reads the pages again, leaves out template subtrees and elements that are
+One pass hashes the subtrees of every page and counts, per host, the page contents that hold each; subtrees found in many of a
+host's contents are its template.  Pages with the same main text are one content, so copies of a page are no evidence,
+and a subtree with most of a page's main text is never taken for its template.  A second pass reads the pages again, leaves out template subtrees and elements that are
 menus, notices, forms and the like by their name, class or role, and joins the remaining blocks of the article.
 
 Inside an article, a paragraph or heading is never taken for template: texts may be copied between pages.
 
 Defined results: null or empty html gives an empty text; a null url has no host, so only element names count; repeated rows
-count as pages of their host; truncated and unbalanced markup is read as far as it goes; an empty table gives an empty result.
+count once for their host; truncated and unbalanced markup is read as far as it goes; an empty table gives an empty result.
 Input columns may have any names; an added column replaces one of the same name.
 """
 
@@ -15,7 +16,6 @@ from __future__ import annotations
 
 import html as html_module
 import re
-from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -148,41 +148,71 @@ class Page:
         flush()
         close(0, len(html))
 
+    def main(self) -> list[tuple[int, str]]:
+        """Element and text of the blocks of the articles, else of main, else of the whole body."""
+        best = max((rank for _, rank, _ in self.blocks), default=0)
+        return [(element, text) for element, rank, text in self.blocks if rank == best]
+
+    def content(self) -> int:
+        """A hash of the main text."""
+        blocks = "\n\n".join(text for _, text in self.main())
+        return xxhash.xxh64_intdigest(blocks.encode("utf-8", "surrogatepass")) - (1 << 63)
+
+    def _most(self, main: list[tuple[int, str]]) -> list[bool]:
+        """Of each element, whether it holds more than half of the main text."""
+        sizes = [0] * len(self.elements)
+        for element, text in main:
+            if element >= 0:
+                sizes[element] += len(text)
+        for element in range(len(sizes) - 1, -1, -1):
+            if self.elements[element][0] >= 0:
+                sizes[self.elements[element][0]] += sizes[element]
+        total = sum(len(text) for _, text in main)
+        return [2 * size > total for size in sizes]
+
     def subtrees(self) -> set[int]:
-        return {e[1] for e in self.elements if e[1] is not None}
+        """Hashes of the subtrees that can be template, but for those with most of the main text."""
+        return {e[1] for e, most in zip(self.elements, self._most(self.main())) if e[1] is not None and not most}
 
     def text(self, template: frozenset[int] = frozenset()) -> str:
-        """Blocks of the articles, else of main, else of the whole body, without template subtrees."""
-        gone: list[bool] = []
-        for parent, subtree, _ in self.elements:
-            gone.append(parent >= 0 and gone[parent] or subtree in template)
-        left = [(rank, text) for element, rank, text in self.blocks if element < 0 or not gone[element]]
-        best = max((rank for rank, _ in left), default=0)
-        return "\n\n".join(text for rank, text in left if rank == best)
-
-
-def _count_subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The main text without template subtrees; one that holds most of it stays as a whole."""
+        main = self.main()
+        if not template:
+            return "\n\n".join(text for _, text in main)
+        left: list[bool | None] = []  # False: template; True: held by a subtree that stays
+        for (parent, subtree, _), most in zip(self.elements, self._most(main)):
+            above = left[parent] if parent >= 0 else None
+            left.append(most if above is None and subtree in template else above)
+        return "\n\n".join(text for element, text in main if element < 0 or left[element] is not False)
+
+
+def _contents_of_subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``host, subtree, content`` of every page, and a row without a subtree for the page itself."""
     for batch in batches:
-        counted: Counter = Counter()
+        found: set[tuple] = set()
         for host, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            counted.update((host, h) for h in Page(html).subtrees())
-        keys = list(counted)
+            page = Page(html)
+            content = page.content()
+            found.add((host, None, content))
+            found.update((host, h, content) for h in page.subtrees())
+        columns = zip(*found) if found else ((), (), ())
         yield pa.RecordBatch.from_arrays(
-            [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.int64()), pa.array(counted.values(), pa.int64())],
-            names=["host", "subtree", "pages"],
+            [pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int64(), pa.int64()))], names=["host", "subtree", "content"]
         )
 
 
 def site_templates(pages: DataFrame, min_pages: int, min_share: float) -> DataFrame:
-    """``host, subtrees`` from rows ``host, html``: subtrees in at least ``min_pages`` and ``min_share`` of the host's pages.
+    """``host, subtrees`` from rows ``host, html``: subtrees in at least ``min_pages`` and ``min_share`` of the host's contents.
 
     A host has few of them: the mean number of subtrees in its pages divided by ``min_share`` at most.
     """
     known = pages.filter("host is not null and host <> '' and html is not null")
-    counts = known.select("host", "html").mapInArrow(_count_subtrees, "host string, subtree bigint, pages bigint")
-    counts = counts.groupBy("host", "subtree").agg(F.sum("pages").alias("pages")).filter(F.col("pages") >= min_pages)
-    sizes = known.groupBy(F.col("host").alias("s_host")).agg(F.count(F.lit(1)).alias("host_pages"))
-    often = counts.join(sizes, F.col("host") == F.col("s_host")).filter(F.col("pages") >= min_share * F.col("host_pages"))
+    found = known.select("host", "html").mapInArrow(_contents_of_subtrees, "host string, subtree bigint, content bigint")
+    counts = found.distinct().groupBy("host", "subtree").agg(F.count(F.lit(1)).alias("pages"))
+    counts = staged(counts.filter((F.col("pages") >= min_pages) | F.col("subtree").isNull()), "site-subtrees")
+    sizes = counts.filter("subtree is null").select(F.col("host").alias("s_host"), F.col("pages").alias("host_pages"))
+    often = counts.filter("subtree is not null").join(sizes, F.col("host") == F.col("s_host"))
+    often = often.filter(F.col("pages") >= min_share * F.col("host_pages"))
     return often.groupBy("host").agg(F.collect_list("subtree").alias("subtrees"))
 
 

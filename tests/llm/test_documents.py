@@ -126,6 +126,17 @@ def test_mix(messy, real, nothing, shard_words):
     assert mixing.mix(nothing).collect() == []
 
 
+def test_mix_of_rows_without_ids_does_not_hang_on_their_order(spark):
+    # Targets: all of a twice, parts of b and c.
+    rows = [(None if s == "b" else 7, prose(40, at + i), "en", s) for s, at, n in (("a", 1000, 200), ("b", 2000, 200), ("c", 3000, 100)) for i in range(n)]
+    for shard_words in (1_000_000, 1_000):
+        taken = [
+            sorted((r.text, r.taken) for r in mixing.mix(documents(spark, given), shard_words=shard_words).collect())
+            for given in (rows, rows[::-1])
+        ]
+        assert taken[0] == taken[1] and len({t for _, t in taken[0]}) > 1
+
+
 def test_quotas_are_sainte_lague(spark):
     import random
 

@@ -6,7 +6,8 @@ many independent cells as its size asks for.  Blocks of equal words are apportio
 permutation of the block numbers.  Only per-source and per-cell sums leave the scan; words are counted once.
 
 Defined results: a null text has size 0 and gives nothing; null sources are one source, ordered last; a null id is a
-document like another (ordered as an empty id); repeated rows are separate documents; an empty table gives an empty
+document like another (ordered as an empty id); the text takes part in the key, so rows of one id with different texts spread
+over the shards in a fixed order; repeated rows are separate documents; an empty table gives an empty
 result.  Further input columns may have any names; an added column replaces one of the same name.
 """
 
@@ -102,7 +103,8 @@ def mix(
     the words of both.  A document never gives more than ``cap`` times its words.
     """
     rows, inner = shielded(documents)
-    key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col(inner[id_col]).cast("string"), F.lit(""))))
+    own = F.coalesce(F.col(inner[id_col]).cast("string"), F.lit(""))
+    key = F.md5(F.concat_ws(":", F.lit(str(seed)), own, F.xxhash64(inner[text_col]).cast("string")))
     keyed = rows.withColumns({"size": word_count(F.col(inner[text_col])), "mix_key": key, "mix_source": F.col(inner[source_col])})
     sizes = staged(keyed.select(F.col("mix_source").alias("source"), "mix_key", "size"), "mix-sizes")
     shards = F.greatest(F.lit(1), F.ceil(F.col("source_size") / shard_words)).cast("long")

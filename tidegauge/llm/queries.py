@@ -11,6 +11,7 @@ from tidegauge.llm.html_text import extract_text
 from tidegauge.llm.language import held_out, identify, learn
 from tidegauge.llm.minhash import link_documents
 from tidegauge.llm.mixing import mix
+from tidegauge.llm.negatives import mine_negatives
 from tidegauge.llm.packing import pack, tokenized_pieces
 from tidegauge.llm.quality import judge
 from tidegauge.llm.repeats import remove_repeats
@@ -95,6 +96,12 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector, after labels of every seventh are moved by one."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine_negatives(read_table(spark, sf_dir, "embeddings").withColumn("label", label))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_url_filter": op2_url_filter,
@@ -106,6 +113,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_near_documents": op8_near_documents,
     "op9_html_text": op9_html_text,
     "op10_language": op10_language,
+    "op11_hard_negatives": op11_hard_negatives,
 }
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -168,4 +176,21 @@ verdicts AS (SELECT host, {" AND ".join(_RATE.format(r=r) + " <= 0.8" for r in _
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, few_words + repetitive > 0 AS base_failed,
        COALESCE(host_kept, true) AS host_kept, few_words + repetitive = 0 AND COALESCE(host_kept, true) AS kept
 FROM judged LEFT JOIN verdicts ON host = source""",
+    "op11_hard_negatives": """
+WITH whole AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         [CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE) FOR x IN embedding] AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0 AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+scores AS (
+  SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same, CAST(list_inner_product(a.v, r.v) AS BIGINT) AS score
+  FROM whole a JOIN whole r ON a.vec_id % 100 = 0 AND r.vec_id <> a.vec_id AND len(a.v) = len(r.v)),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scores WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER best AS INT) AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scores s USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+WINDOW best AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)
+QUALIFY row_number() OVER best <= 10""",
 }

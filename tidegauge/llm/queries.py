@@ -9,13 +9,15 @@ from pyspark.sql import functions as F
 
 from tidegauge.llm.html_text import extract_text
 from tidegauge.llm.language import held_out, identify, learn
+from tidegauge.llm.licenses import BASE_PHRASES, scan_licenses
 from tidegauge.llm.minhash import link_documents
 from tidegauge.llm.mixing import mix
 from tidegauge.llm.negatives import mine_negatives
 from tidegauge.llm.packing import pack, tokenized_pieces
 from tidegauge.llm.quality import judge
 from tidegauge.llm.repeats import remove_repeats
-from tidegauge.llm.shared import read_table
+from tidegauge.llm.runs import periodic_runs
+from tidegauge.llm.shared import WORD, read_table
 from tidegauge.llm.url_filter import judge_urls
 from tidegauge.llm.vectors import link_vectors
 from tidegauge.llm.warc import read_records, write_archives
@@ -102,6 +104,56 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mine_negatives(read_table(spark, sf_dir, "embeddings").withColumn("label", label))
 
 
+def op12_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places of four phrases, and all licences that every document names."""
+    found = scan_licenses(read_table(spark, sf_dir, "documents"), carry=("doc_id",))
+    base = F.filter("places", lambda p: p.phrase.isin(*BASE_PHRASES))
+    found = found.withColumn("base", base)
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("base").cast("long").alias("n_base"),
+        F.array_min("base.word").alias("first_word"),
+        F.array_max("base.word").alias("last_word"),
+        F.array_join(F.array_sort(F.array_distinct("base.label")), ",").alias("base_labels"),
+        F.array_join("labels", ",").alias("labels"),
+        "score",
+    )
+
+
+def made_periodic(documents: DataFrame) -> DataFrame:
+    """Words of every tenth document (by the CRC of its id) repeat with a period from some word on."""
+    words = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(WORD), F.lit(0))
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g = F.floor(h / 10)
+    marked = documents.withColumns({"g": g, "words": F.when(h % 10 == 0, words)})
+    marked = marked.withColumn("n", F.size("words")).withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")).cast("int"))
+    period = (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("int")
+    marked = marked.withColumn("p", period)
+    times = F.ceil((F.col("n") - F.col("a")) / F.col("p")).cast("int")
+    tail = F.flatten(F.array_repeat(F.slice("words", F.col("a") + 1, F.col("p")), times))
+    made = F.array_join(F.slice(F.concat(F.slice("words", F.lit(1), F.col("a")), tail), F.lit(1), F.col("n")), " ")
+    return marked.select("doc_id", F.when(F.col("a").isNotNull(), made).otherwise(F.col("text")).alias("text"))
+
+
+def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of every document, the longest one, and digests of all runs and of the text without repetitions."""
+    documents = made_periodic(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = periodic_runs(documents, carry=("doc_id",))
+    longest = F.get(F.array_sort(F.transform("runs", lambda r: F.struct((-r.length).alias("falling"), r.start.alias("start"), r.period.alias("period")))), F.lit(0))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r.start, r.length, r.period), F.lit("\n")))
+    return found.withColumn("longest", longest).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("longest.start").alias("start"),
+        (-F.col("longest.falling")).alias("length"),
+        F.col("longest.period").alias("period"),
+        F.floor(-F.col("longest.falling") * 1000 / F.col("longest.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_url_filter": op2_url_filter,
@@ -114,6 +166,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_html_text": op9_html_text,
     "op10_language": op10_language,
     "op11_hard_negatives": op11_hard_negatives,
+    "op12_licenses": op12_licenses,
+    "op13_runs": op13_runs,
 }
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"

@@ -12,6 +12,7 @@ from .operators.dimension import (
     server_prefixes,
 )
 from .operators.io import file_samples, io_delta
+from .operators.rules import flag_by_rules, instance_editions, log_rules
 from .operators.sequence import last_snapshots, snapshot_sequence
 from .operators.usage import (
     column_counts,

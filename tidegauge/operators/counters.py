@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from ..functions.numeric import whole_ratio_sql
 from ..functions.text import name_key_sql
 from ..sources.constants import AVERAGE, BASE, DIFFERENCED, RATE
+from .rules import KEYS, NAMES
 from .sequence import snapshot_sequence, with_sequence
 from .series import CHUNK_DAYS, with_previous_snapshot
 
@@ -22,6 +23,7 @@ def counter_delta(
     params: DataFrame,
     *,
     sequence: DataFrame | None = None,
+    editions: DataFrame | None = None,
     base: str = "interval",
     on_reset: str = "keep",
     strict: bool = False,
@@ -38,14 +40,22 @@ def counter_delta(
     on_reset  a counter that fell without a restart: "keep" the negative difference, "null" (drops
               the row) or "cumulative" (take the new total).
     strict    raise on a zero-second interval instead of dropping the row.
+    editions  (instance_id, edition), one row per instance: with a dimension that has rows of their own for some editions,
+              each instance takes those of its edition.  Without it, the rows for all editions hold for every instance.
 
     A counter and its base travel together: look-back and division share one shuffle.
     """
     if base not in ("interval", "cumulative") or on_reset not in ON_RESET:
         raise ValueError(f"base={base!r}, on_reset={on_reset!r}")
     sequence = sequence if sequence is not None else snapshot_sequence(samples, parity=parity, chunk_days=chunk_days)
+    if editions is not None and "engine_edition" in params.columns:
+        # One row per poll carries the edition along, so the samples meet no further relation.
+        sequence = sequence.join(editions.select("instance_id", "edition"), "instance_id", "left")
+        matched = with_sequence(match_names(samples, params), sequence, "edition").transform(take_edition)
+    else:
+        matched = with_sequence(match_counters(samples, params), sequence)
     looked_up = with_previous_snapshot(
-        with_sequence(match_counters(samples, params), sequence),
+        matched,
         ["instance_id", "inst_perf_param_id"],
         ["total"],
         cluster=["instance_id", "_family"],
@@ -78,23 +88,52 @@ def counter_delta(
     )
 
 
+_PARENT = "coalesce(nullif(parent_param_id, 0), inst_perf_param_id)"
+_MATCHED = (
+    "inst_perf_param_id",
+    "counter_type",
+    f"{_PARENT} as _family",
+    f"(counter_type = {BASE} and {_PARENT} <> inst_perf_param_id) as _is_base",
+)
+
+
 def match_counters(samples: DataFrame, params: DataFrame, *, keep: tuple[str, ...] = ()) -> DataFrame:
     """Samples of logged counters, with their dimension row; names match by key.
 
     ``_family`` groups a counter with its base counter: the parent's id where there is one.  ``keep``
     names further sample columns to pass through.
     """
-    parent = "coalesce(nullif(parent_param_id, 0), inst_perf_param_id)"
-    logged = params.where("log_ind").selectExpr(
-        f"{name_key_sql('object_nm')} as object_key",
-        f"{name_key_sql('counter_nm')} as counter_key",
-        f"{name_key_sql('instance_nm')} as instance_key",
-        "inst_perf_param_id",
-        "counter_type",
-        f"{parent} as _family",
-        f"(counter_type = {BASE} and {parent} <> inst_perf_param_id) as _is_base",
+    logged = params.where("log_ind")
+    if "engine_edition" in params.columns:
+        logged = logged.where("engine_edition is null")
+    return _measured(samples, keep).join(logged.selectExpr(*_DIMENSION_KEYS, *_MATCHED), list(KEYS)).drop(*KEYS)
+
+
+def match_names(samples: DataFrame, params: DataFrame) -> DataFrame:
+    """Samples of counters that some edition logs, with the dimension rows of all editions (``_all`` and ``_by_edition``)."""
+    row = f"struct(log_ind, {', '.join(_MATCHED)})"
+    named = params.selectExpr(*_DIMENSION_KEYS, "engine_edition", "log_ind", f"{row} as _row").groupBy(*KEYS)
+    rows = named.agg(
+        F.expr("max(if(engine_edition is null, _row, null)) as _all"),
+        F.expr("map_from_entries(collect_list(if(engine_edition is null, null, struct(engine_edition, _row)))) as _by_edition"),
+        F.bool_or("log_ind").alias("_logged"),
     )
-    measured = samples.selectExpr(
+    return _measured(samples).join(rows.where("_logged").drop("_logged"), list(KEYS)).drop(*KEYS)
+
+
+def take_edition(matched: DataFrame) -> DataFrame:
+    """The dimension row of the instance's own edition, if it is logged there."""
+    own = matched.withColumn("_row", F.expr("coalesce(if(edition is null, null, _by_edition[edition]), _all)")).where("_row.log_ind")
+    return own.select("*", *[f"_row.{c}" for c in ("inst_perf_param_id", "counter_type", "_family", "_is_base")]).drop(
+        "_row", "_all", "_by_edition", "edition"
+    )
+
+
+_DIMENSION_KEYS = [f"{name_key_sql(n)} as {k}" for k, n in zip(KEYS, NAMES)]
+
+
+def _measured(samples: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    return samples.selectExpr(
         "instance_id",
         "snapshot_date",
         f"{name_key_sql('object_name')} as object_key",
@@ -103,5 +142,3 @@ def match_counters(samples: DataFrame, params: DataFrame, *, keep: tuple[str, ..
         "abs(cntr_value) as total",
         *keep,
     )
-    keys = ["object_key", "counter_key", "instance_key"]
-    return measured.join(logged, keys).drop(*keys)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.keys import surrogate_id
-from ..functions.text import key_in_sql, key_is_sql, literal_key, name_key_sql, object_family_sql, quoted
+from ..functions.text import key_in_sql, key_is_sql, literal_key, object_family_sql, quoted
 from ..sources.constants import (
     AVERAGE,
     BASE,
@@ -18,6 +18,7 @@ from ..sources.constants import (
     SUMMARY_INSTANCES,
     custom_counters,
 )
+from .rules import KEYS, NAMES, base_name_sql, custom_exclusions, flag_by_rules, log_rules, with_name_keys
 
 _COLUMNS = (
     "inst_perf_param_id",
@@ -28,8 +29,6 @@ _COLUMNS = (
     "parent_param_id",
     "log_ind",
 )
-_NAMES = ("object_nm", "counter_nm", "instance_nm")
-_KEYS = ("object_key", "counter_key", "instance_key")
 
 
 def server_prefixes(samples: DataFrame) -> DataFrame:
@@ -60,18 +59,18 @@ def build_counter_dim(samples: DataFrame, *, with_custom: bool = True, parity: b
         "trim(instance_name) as instance_nm",
         "cntr_type as counter_type",
     ).distinct()
-    kept = listed.transform(_with_keys).where(
+    kept = listed.transform(with_name_keys).where(
         f"not {per_database} or {key_in_sql('instance_key', SUMMARY_INSTANCES)}"
     )
     if with_custom:
         custom = custom_counters(samples.sparkSession, parity=parity).withColumn("counter_type", F.lit(CUSTOM))
-        kept = kept.unionByName(custom.transform(_with_keys))
+        kept = kept.unionByName(custom.transform(with_name_keys))
     return (
-        kept.groupBy(*_KEYS)
-        .agg(*[F.min(c).alias(c) for c in (*_NAMES, "counter_type")])
+        kept.groupBy(*KEYS)
+        .agg(*[F.min(c).alias(c) for c in (*NAMES, "counter_type")])
         .select(
-            surrogate_id(*_KEYS).alias("inst_perf_param_id"),
-            *_NAMES,
+            surrogate_id(*KEYS).alias("inst_perf_param_id"),
+            *NAMES,
             "counter_type",
             F.expr("0L as parent_param_id"),
             F.expr("false as log_ind"),
@@ -87,7 +86,7 @@ def flag_counters(dim: DataFrame, *, edition_code: int | None = None, rules: Seq
     """
     active = [r for r in rules if r[5] is None or r[5] == edition_code]
     matched = " or ".join(["log_ind", *[_rule_sql(r) for r in active]])
-    return dim.transform(_with_keys).withColumn("log_ind", F.expr(matched)).select(*_COLUMNS)
+    return dim.transform(with_name_keys).withColumn("log_ind", F.expr(matched)).select(*_COLUMNS)
 
 
 def link_base_counters(dim: DataFrame, *, parity: bool = False) -> DataFrame:
@@ -98,22 +97,40 @@ def link_base_counters(dim: DataFrame, *, parity: bool = False) -> DataFrame:
     ``parity`` links ratio counters only, not averages.
     """
     kinds = RATIO if parity else f"{RATIO}, {AVERAGE}"
-    base_name = f"if(counter_type in ({kinds}), rtrim(replace(counter_key, ' (ms)', '')) || ' base', counter_key)"
     parent = f"min(if(counter_type in ({kinds}), inst_perf_param_id, null))"
-    pair = "over (partition by object_key, instance_key, _base_key)"
+    # Rows of one edition are linked with each other.
+    edition = ", engine_edition" if "engine_edition" in dim.columns else ""
+    pair = f"over (partition by object_key, instance_key, _base_key{edition})"
     return (
-        dim.transform(_with_keys)
-        .selectExpr("*", f"{base_name} as _base_key")
+        dim.transform(with_name_keys)
+        .selectExpr("*", f"{base_name_sql(parity=parity)} as _base_key")
         .selectExpr("*", f"if(counter_type = {BASE}, {parent} {pair}, null) as _parent")
         .withColumn("parent_param_id", F.coalesce("_parent", "parent_param_id"))
-        .select(*_COLUMNS)
+        .select(*dim.columns)
     )
 
 
 def counter_dimension(
-    samples: DataFrame, *, edition_code: int | None = None, with_custom: bool | None = None, parity: bool = False
+    samples: DataFrame,
+    *,
+    editions: DataFrame | None = None,
+    rules: DataFrame | None = None,
+    edition_code: int | None = None,
+    with_custom: bool | None = None,
+    parity: bool = False,
 ) -> DataFrame:
-    """Build, flag and link in one call.  A single cloud database has no custom counters."""
+    """Build, flag and link in one call.  A single cloud database has no custom counters.
+
+    editions  (instance_id, edition) of a fleet, one row per instance: flags hold per edition, see ``flag_by_rules``
+    rules     rules as a table (``rules.RULES``), the built-in ones (``rules.log_rules``) by default; needs ``editions``
+    """
+    if editions is not None:
+        spark = samples.sparkSession
+        rules = (rules if rules is not None else log_rules(spark)).unionByName(custom_exclusions(editions))
+        dim = build_counter_dim(samples, with_custom=with_custom is not False, parity=parity)
+        return link_base_counters(flag_by_rules(dim, rules, editions), parity=parity)
+    if rules is not None:
+        raise ValueError("rules as a table need the editions of the fleet")
     if with_custom is None:
         with_custom = edition_code is None or edition_code <= 4 or edition_code == 8
     dim = build_counter_dim(samples, with_custom=with_custom, parity=parity)
@@ -122,7 +139,7 @@ def counter_dimension(
 
 def counter_families(params: DataFrame) -> DataFrame:
     """Logged counter / base pairs: (base_id, base keys, parent_id, parent keys)."""
-    logged = params.where("log_ind").transform(_with_keys)
+    logged = params.where("log_ind").transform(with_name_keys)
     base = logged.where("parent_param_id <> 0").selectExpr(
         "inst_perf_param_id as base_id",
         "parent_param_id as parent_id",
@@ -135,10 +152,6 @@ def counter_families(params: DataFrame) -> DataFrame:
     return base.join(parent, "parent_id")
 
 
-def _with_keys(df: DataFrame) -> DataFrame:
-    return df.selectExpr("*", *[f"{name_key_sql(n)} as {k}" for k, n in zip(_KEYS, _NAMES)])
-
-
 def _rule_sql(rule: tuple) -> str:
     object_match, object_name, counter_match, counters, instance, _ = rule
     matcher = {"ends": "endswith", "starts": "startswith"}[object_match]

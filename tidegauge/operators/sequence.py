@@ -84,12 +84,12 @@ def last_snapshots(df: DataFrame) -> DataFrame:
     )
 
 
-def with_sequence(df: DataFrame, sequence: DataFrame) -> DataFrame:
-    """Attaches the sequence columns by (instance, snapshot).
+def with_sequence(df: DataFrame, sequence: DataFrame, *more: str) -> DataFrame:
+    """Attaches the sequence columns, and ``more`` of its columns, by (instance, snapshot).
 
     No broadcast hint: the sequence grows with fleet and history, so Spark picks a broadcast only
     when its measured size allows one.
     """
     return df.join(
-        sequence.select("instance_id", "snapshot_date", *SEQUENCE_COLUMNS), ["instance_id", "snapshot_date"]
+        sequence.select("instance_id", "snapshot_date", *SEQUENCE_COLUMNS, *more), ["instance_id", "snapshot_date"]
     )

@@ -252,6 +252,28 @@ _CTES["dim"] = (
   LEFT JOIN flagged p ON f.counter_type = 1073939712 AND p.counter_type IN (537003264, 1073874176)
     AND p.ok = f.ok AND p.ik = f.ik AND rtrim(replace(p.ck, ' (ms)', '')) || ' base' = f.ck""",
 )
+# A fleet: the cloud databases (every fourth instance) log some counters of their own and have no custom ones.
+_CTES["flagged_fleet"] = (
+    ("flagged", "built"),
+    f"""
+  SELECT *, CAST(NULL AS INT) AS engine_edition FROM flagged
+  UNION ALL
+  SELECT CAST('0x' || substr(md5(concat_ws('|', length(ok) || ':' || ok, length(ck) || ':' || ck, length(ik) || ':' || ik, '1:5')), 1, 15) AS BIGINT),
+         object_nm, counter_nm, instance_nm, counter_type, parent_param_id, ok, ck, ik, NOT log_ind, 5
+  FROM (
+    SELECT c.* REPLACE (f.log_ind AS log_ind), c.log_ind AND c.ok NOT LIKE 'custom:%' AS in_cloud
+    FROM ({_FLAGGED.format(source="built", tempdb_like="'tempdb', '_total'")}) c JOIN flagged f USING (inst_perf_param_id)) b
+  WHERE log_ind <> in_cloud""",
+)
+_CTES["fleet_dim"] = (
+    ("flagged_fleet",),
+    """
+  SELECT f.* REPLACE (COALESCE(p.inst_perf_param_id, f.parent_param_id) AS parent_param_id)
+  FROM flagged_fleet f
+  LEFT JOIN flagged_fleet p ON f.counter_type = 1073939712 AND p.counter_type IN (537003264, 1073874176)
+    AND p.ok = f.ok AND p.ik = f.ik AND rtrim(replace(p.ck, ' (ms)', '')) || ' base' = f.ck
+    AND p.engine_edition IS NOT DISTINCT FROM f.engine_edition""",
+)
 _DIM = "inst_perf_param_id, object_nm, counter_nm, instance_nm, counter_type, parent_param_id, log_ind"
 
 
@@ -269,6 +291,15 @@ def _staged(params: str) -> str:
 
 
 _CTES["staged"] = (("raw_counters", "dim", "seq"), _staged("dim"))
+_CTES["fleet_staged"] = (
+    ("raw_counters", "fleet_dim", "seq"),
+    _staged("fleet_dim").replace(
+        "WHERE d.log_ind",
+        """WHERE d.log_ind AND CASE WHEN d.engine_edition = 5 THEN r.instance_id % 4 = 0
+            ELSE r.instance_id % 4 <> 0 OR NOT EXISTS (
+              SELECT 1 FROM fleet_dim o WHERE o.engine_edition = 5 AND o.ok = d.ok AND o.ck = d.ck AND o.ik = d.ik) END""",
+    ),
+)
 _CTES["gained"] = (
     ("staged",),
     """
@@ -295,6 +326,7 @@ _CTES["latch_dim"] = (
     "SELECT * REPLACE (object_nm LIKE '%Latches' AND counter_type IN (1073874176, 1073939712) AS log_ind) FROM dim",
 )
 _CTES["latch_staged"] = (("raw_counters", "latch_dim", "seq"), _staged("latch_dim"))
+_CTES["fleet_gained"] = (("fleet_staged",), _CTES["gained"][1].replace("staged", "fleet_staged"))
 _CTES["latch_gained"] = (("latch_staged",), _CTES["gained"][1].replace("staged", "latch_staged"))
 _CTES["perf"] = (
     ("gained",),
@@ -310,6 +342,7 @@ _CTES["perf"] = (
   LEFT JOIN gained b ON b.instance_id = c.instance_id AND b.snapshot_date = c.snapshot_date
     AND b.parent_param_id = c.inst_perf_param_id AND c.counter_type = 1073874176""",
 )
+_CTES["fleet_perf"] = (("fleet_gained",), _CTES["perf"][1].replace("gained", "fleet_gained"))
 _SNAP = """
 SELECT instance_id, snapshot_date, inst_perf_param_id, CAST(v AS BIGINT) AS instance_perf_value,
        CAST(total AS BIGINT) AS cumulative_perf_value, first_measure AS startup_measure_ind,
@@ -734,6 +767,8 @@ WHERE upper(object_name) LIKE 'MSSQL$%'""",
     "counter_dimension": _sql(f"SELECT {_DIM} FROM built", "built"),
     "counter_flag_rules": _sql(f"SELECT {_DIM} FROM flagged", "flagged"),
     "counter_flag_rules_cloud": _sql(f"SELECT {_DIM} FROM flagged_cloud", "flagged_cloud"),
+    "counter_flag_rules_fleet": _sql(f"SELECT {_DIM}, engine_edition FROM fleet_dim", "fleet_dim"),
+    "perf_snap_fleet": _sql(_SNAP.format(source="fleet_perf"), "fleet_perf"),
     "counter_base_links": _sql(f"SELECT {_DIM} FROM dim", "dim"),
     "innocuous_wait_totals": _sql(
         f"""SELECT instance_id, wait_type, COUNT(*) AS samples, MAX(tim) AS max_wait_time_ms

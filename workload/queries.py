@@ -183,6 +183,22 @@ def counter_flag_rules_cloud(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tg.flag_counters(dim, edition_code=5)
 
 
+def _editions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tg.instance_editions(derived.raw_config(spark, sf_dir))
+
+
+def counter_flag_rules_fleet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Servers and cloud databases in one call: rules of one edition give its instances rows of their own."""
+    dim = tg.counter_dimension(derived.raw_counters(spark, sf_dir), editions=_editions(spark, sf_dir))
+    return dim.drop("excepted_editions")
+
+
+def perf_snap_fleet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every instance by the counters that its own edition logs."""
+    samples, editions = _counters(spark, sf_dir)[0], _editions(spark, sf_dir)
+    return _snap_columns(tg.counter_delta(samples, tg.counter_dimension(samples, editions=editions), editions=editions))
+
+
 def counter_base_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _counters(spark, sf_dir)[1]
 
@@ -560,6 +576,8 @@ QUERIES: dict[str, Query] = {
     "counter_dimension": counter_selection,
     "counter_flag_rules": counter_flag_rules,
     "counter_flag_rules_cloud": counter_flag_rules_cloud,
+    "counter_flag_rules_fleet": counter_flag_rules_fleet,
+    "perf_snap_fleet": perf_snap_fleet,
     "counter_base_links": counter_base_links,
     "innocuous_wait_totals": innocuous_wait_totals,
     "wait_interval": wait_interval,

@@ -3,7 +3,7 @@
 from .operators.archive import new_rows, split_by_age, with_audit
 from .operators.capacity import capacity_alerts, capacity_breaches, drive_usage
 from .operators.config import attributes_to_columns, config_changes, instance_rows, latest_config
-from .operators.counters import counter_delta
+from .operators.counters import counter_delta, unrated_counters
 from .operators.dimension import (
     build_counter_dim,
     counter_dimension,

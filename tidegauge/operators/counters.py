@@ -26,6 +26,7 @@ def counter_delta(
     editions: DataFrame | None = None,
     base: str = "interval",
     on_reset: str = "keep",
+    keep_unrated: bool = False,
     strict: bool = False,
     parity: bool = False,
     chunk_days: int = CHUNK_DAYS,
@@ -39,7 +40,8 @@ def counter_delta(
     base      "interval": divide by what the base gained in the interval; "cumulative": by its total.
     on_reset  a counter that fell without a restart: "keep" the negative difference, "null" (drops
               the row) or "cumulative" (take the new total).
-    strict    raise on a zero-second interval instead of dropping the row.
+    strict    raise on a zero-second interval instead of leaving the row out.
+    keep_unrated  give the rows left out too, with a NULL value (``unrated_counters`` gives them alone).
     editions  (instance_id, edition), one row per instance: with a dimension that has rows of their own for some editions,
               each instance takes those of its edition.  Without it, the rows for all editions hold for every instance.
 
@@ -65,7 +67,7 @@ def counter_delta(
     divisor = "_gained" if base == "interval" else "total"
     members = "over (partition by instance_id, _family, _chunk, snapshot_date)"
     rate, average = whole_ratio_sql("_gained", "interval_s", strict=strict), whole_ratio_sql("_gained", "_divisor")
-    return (
+    valued = (
         looked_up.selectExpr("*", f"if(first_measure, total, {gain}) as _gained")
         .selectExpr(
             "*",
@@ -75,17 +77,24 @@ def counter_delta(
                      else cast(total as decimal(28,2)) end as _value""",
         )
         .selectExpr("*", f"coalesce(nullif(max(if(_is_base, {divisor}, null)) {members}, 0), 1) as _divisor")
-        .where("_value is not null")
-        .selectExpr(
-            "instance_id",
-            "snapshot_date",
-            "inst_perf_param_id",
-            f"if(counter_type = {AVERAGE}, {average}, _value) as instance_perf_value",
-            "cast(total as decimal(28,2)) as cumulative_perf_value",
-            "first_measure as startup_measure_ind",
-            "interval_s as measurement_interval_s",
-        )
     )
+    if not keep_unrated:
+        valued = valued.where("_value is not null")
+    return valued.selectExpr(
+        "instance_id",
+        "snapshot_date",
+        "inst_perf_param_id",
+        f"if(counter_type = {AVERAGE} and _value is not null, {average}, _value) as instance_perf_value",
+        "cast(total as decimal(28,2)) as cumulative_perf_value",
+        "first_measure as startup_measure_ind",
+        "interval_s as measurement_interval_s",
+    )
+
+
+def unrated_counters(samples: DataFrame, params: DataFrame, **options) -> DataFrame:
+    """The rows that ``counter_delta`` leaves out: rates over no second, and falls with ``on_reset="null"``."""
+    rows = counter_delta(samples, params, keep_unrated=True, **options)
+    return rows.where("instance_perf_value is null").drop("instance_perf_value")
 
 
 _PARENT = "coalesce(nullif(parent_param_id, 0), inst_perf_param_id)"

@@ -13,11 +13,14 @@ packed each; an empty table gives an empty result.  Input columns may have any n
 
 from __future__ import annotations
 
+import re
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -41,93 +44,118 @@ def piece_lengths(n: int, capacity: int, cuts: int, least: int) -> list[int]:
     return lengths
 
 
+#: Letters beyond these may be letters to one Unicode table and none to another.
+_PLAIN = "\u0530"
+#: Small letters that every normal form leaves as they are.
+_LATIN = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+")
+
+
+def _all_letters(word: str) -> bool:
+    """Whether the tokenizer's normal form of a word is nothing but letters: some letters become a letter and a mark there."""
+    if word.isascii():
+        return word.isalpha()
+    if _LATIN.fullmatch(word):
+        return True
+    if max(word) >= _PLAIN:
+        return False
+    return "".join(c.lower() for c in unicodedata.normalize("NFC", word)).isalpha()
+
+
 class WordTokens:
     """Ids of texts as little-endian unsigned 32-bit integers.
 
-    The tokenizer's rules never join what blanks and line ends part, so texts are split there, and the ids of each part are
-    remembered: ``remembered`` parts, and those of the generation before.  New words of letters are tokenized together,
-    as a token tells whether it ends a word.
+    The tokenizer's rules never join what white space parts, so texts are split there, and every distinct part of some texts is
+    tokenized once.  Its ids are remembered for texts to come, up to ``remembered`` bytes of short parts and as many of the
+    generation before.  New words of letters are tokenized together, as a token tells whether it ends a word.
     """
 
     #: Marks that the tokenizer parts from letters before them (not the apostrophe, which it may join to letters).
     MARKS = ".,;:!?*$%&#|<>()[]{}-_=+/@~^\""
+    #: Longer parts are not remembered.
+    SHORT = 40
 
-    def __init__(self, path: str, remembered: int = 400_000):
+    def __init__(self, path: str, remembered: int = 6_000_000):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.remembered = Tokenizer.from_file(path), remembered
-        self.known: dict[str, bytes] = {"": b""}
+        self.known: dict[str, bytes] = {}
         self.before: dict[str, bytes] = {}
+        self.held = 0
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
 
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        split = [self._parts(t) for t in texts]
-        missing = set().union(*split).difference(self.known)
-        if missing:
-            if len(self.known) > self.remembered:
-                missing = set().union(*split)
-                self.before, self.known = self.known, {"": b""}
-            self._learn(missing)
-        return [b"".join(map(self.known.__getitem__, parts)) for parts in split]
-
-    @staticmethod
-    def _parts(text: str) -> list[str]:
-        if "<|" not in text:  # the marks of special tokens, which have no capitals
-            text = text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")
-        return text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-
-    def _learn(self, missing: set[str]) -> None:
-        known, before, marks = self.known, self.before, self.MARKS
-        for part in missing.intersection(before):
-            known[part] = before[part]
-        letters, rest, two = [], [], []
-        for part in missing.difference(known):
-            if part.isalpha():
-                letters.append(part)
-                continue
+    def __call__(self, texts: pa.Array | list[str]) -> list[bytes]:
+        texts = pa.concat_arrays([pc.fill_null(pa.array(texts, pa.string()) if isinstance(texts, list) else texts, "")])
+        # The marks of special tokens have no capitals.
+        plain = pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts))
+        split = pc.ascii_split_whitespace(plain)
+        parts = split.flatten().dictionary_encode()
+        ids = pa.array(self._of_words(parts.dictionary.to_pylist()), pa.large_binary())
+        joined = ids.take(parts.indices)
+        ends = np.frombuffer(joined.buffers()[1], np.int64)[joined.offset :][split.offsets.to_numpy() - split.offsets[0].as_py()]
+        raw = memoryview(joined.buffers()[2] or b"")
+        return [bytes(raw[a:b]) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
+
+    def _of_words(self, words: list[str]) -> list[bytes]:
+        found = list(map(self.known.get, words))
+        lost = [i for i, ids in enumerate(found) if ids is None]
+        missing = [words[i] for i in lost if words[i] not in self.before]
+        learnt = self._learn(missing) if missing else {}
+        for i in lost:
+            word = words[i]
+            found[i] = ids = self.before[word] if word in self.before else learnt[word]
+            if len(word) <= self.SHORT:
+                self.known[word] = ids
+                self.held += len(word) + len(ids)
+        if self.held > self.remembered:
+            self.before, self.known, self.held = self.known, {}, 0
+        return found
+
+    def _learn(self, missing: list[str]) -> dict[str, bytes]:
+        marks, learnt = self.MARKS, {"": b""}
+        letters, rest, two = set(), [], []
+        for part in missing:
             word = part.rstrip(marks)
-            if word.isalpha():
-                two.append((part, word, part[len(word) :]))
-            else:
+            if not word or not _all_letters(word):
                 rest.append(part)
-        have = set(letters).union(known)
-        letters += {word for _, word, _ in two}.difference(have)
-        rest += {end for _, _, end in two}.difference(known, rest)
+            elif len(word) == len(part):
+                letters.add(part)
+            else:
+                letters.add(word)
+                two.append((part, word, part[len(word) :]))
+        letters = list(letters)
         ids = np.asarray(self.tokenizer.encode_batch_fast([" ".join(letters)], add_special_tokens=False)[0].ids, "<u4")
         stops = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
         if len(stops) == len(letters):
             raw = ids.tobytes()
-            known.update(zip(letters, map(raw.__getitem__, map(slice, [0, *stops], stops))))
+            learnt.update(zip(letters, map(raw.__getitem__, map(slice, [0, *stops], stops))))
         else:  # some letter is not one to the tokenizer
             rest += letters
+        rest += {end for _, _, end in two}.difference(rest)
         for part, got in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
-            known[part] = np.asarray(got.ids, "<u4").tobytes()
+            learnt[part] = np.asarray(got.ids, "<u4").tobytes()
         for part, word, end in two:
-            known[part] = known[word] + known[end]
+            learnt[part] = learnt[word] + learnt[end]
+        return learnt
 
 
-def _in_pieces(rows, chars: int = 2_000_000):
-    """Lists of rows ``(id, text)`` of about so many characters."""
-    held, size = [], 0
-    for doc_id, text in rows:
-        held.append((doc_id, text or ""))
-        size += len(text or "")
-        if size >= chars:
-            yield held
-            held, size = [], 0
-    if held:
-        yield held
+def _in_pieces(batch: pa.RecordBatch, most: int = 8_000_000) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch with about so many bytes of text, or one row."""
+    size = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False)
+    part = np.cumsum(size) // most
+    starts = np.flatnonzero(np.diff(part, prepend=-1)).tolist()
+    for a, b in zip(starts, [*starts[1:], batch.num_rows]):
+        yield batch.slice(a, b - a)
 
 
 def _cutter(path: str, end_id: int, capacity: int, cuts: int, least: int):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, end = WordTokens(path), np.asarray([end_id], "<u4").tobytes()
         for batch in batches:
-            out: list[list[int | None]] = [[], [], [], [], []]
-            for held in _in_pieces(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
-                for (doc_id, _), ids in zip(held, tokens([text for _, text in held])):
+            for some in _in_pieces(batch):
+                out: list[list[int | None]] = [[], [], [], [], []]
+                for doc_id, ids in zip(some.column(0).to_pylist(), tokens(some.column(1))):
                     ids += end
                     n, start = len(ids) // 4, 0
                     for length in piece_lengths(n, capacity, cuts, least):
@@ -135,7 +163,7 @@ def _cutter(path: str, end_id: int, capacity: int, cuts: int, least: int):
                         for column, value in zip(out, (doc_id, start, length, crc, n)):
                             column.append(value)
                         start += length
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
 
     return cut
 

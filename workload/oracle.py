@@ -300,6 +300,25 @@ _CTES["fleet_staged"] = (
               SELECT 1 FROM fleet_dim o WHERE o.engine_edition = 5 AND o.ok = d.ok AND o.ck = d.ck AND o.ik = d.ik) END""",
     ),
 )
+_CTES["fallen_counters"] = (
+    ("raw_counters",),
+    "SELECT * REPLACE (CASE WHEN cntr_value % 11 = 0 THEN cntr_value // 3 ELSE cntr_value END AS cntr_value) FROM raw_counters",
+)
+_CTES["fallen_staged"] = (("fallen_counters", "dim", "seq"), _staged("dim").replace("raw_counters", "fallen_counters"))
+_CTES["delivered"] = (
+    (),
+    """
+  SELECT d.*, n.newest IS NULL OR window_end > n.newest - INTERVAL 10 MINUTE AS in_time
+  FROM (
+    SELECT *, CAST(least((day(ts) - 1) // 8 + CASE WHEN event_id % 7 = 0 THEN 1 ELSE 0 END, 3) AS INT) AS delivery,
+           time_bucket(INTERVAL 30 MINUTE, ts) AS window_start, time_bucket(INTERVAL 30 MINUTE, ts) + INTERVAL 30 MINUTE AS window_end
+    FROM events) d
+  LEFT JOIN (
+    SELECT delivery AS before, MAX(ts) AS newest
+    FROM (SELECT ts, CAST(least((day(ts) - 1) // 8 + CASE WHEN event_id % 7 = 0 THEN 1 ELSE 0 END, 3) AS INT) AS brought FROM events) e
+    JOIN (VALUES (1), (2), (3)) t(delivery) ON brought < delivery
+    GROUP BY 1) n ON n.before = d.delivery""",
+)
 _CTES["gained"] = (
     ("staged",),
     """
@@ -971,6 +990,27 @@ SELECT window_start, window_start + INTERVAL 30 MINUTE AS window_end, event_type
 FROM (SELECT *, time_bucket(INTERVAL 30 MINUTE, ts) AS window_start FROM events) e
 WHERE window_start + INTERVAL 30 MINUTE <= (SELECT MAX(ts) FROM events) - INTERVAL 10 MINUTE
 GROUP BY 1, 2, 3""",
+    "stream_report_accounts": _sql(
+        """SELECT delivery, COUNT(*) AS arrived, 0 AS undated, COUNT(*) FILTER (in_time) AS kept, COUNT(*) FILTER (NOT in_time) AS missed
+FROM delivered GROUP BY 1""",
+        "delivered",
+    ),
+    "stream_report_closed": _sql(
+        """SELECT window_start, window_end, event_type, in_time, COUNT(*) AS events, CAST(SUM(CAST(ROUND(value * 100) AS BIGINT)) AS BIGINT) AS cents
+FROM delivered
+WHERE NOT in_time OR window_end <= (SELECT MAX(ts) - INTERVAL 10 MINUTE FROM delivered)
+GROUP BY 1, 2, 3, 4""",
+        "delivered",
+    ),
+    "counter_unrated": _sql(
+        """SELECT c.instance_id, c.snapshot_date, c.inst_perf_param_id, CAST(c.total AS BIGINT) AS cumulative_perf_value,
+       c.interval_s AS measurement_interval_s
+FROM fallen_staged c
+LEFT JOIN fallen_staged p ON p.instance_id = c.instance_id AND p.inst_perf_param_id = c.inst_perf_param_id
+  AND p.snapshot_date = c.prev_snapshot
+WHERE NOT c.first_measure AND c.total < COALESCE(p.total, 0) AND c.counter_type IN (272696576, -1)""",
+        "fallen_staged",
+    ),
     "stream_resource_dedup": """
 SELECT DISTINCT CAST(user_id // 10 AS INT) AS instance_id,
        CAST(CAST(ts AS DATE) AS TIMESTAMP) + to_hours(CAST(hour(ts) AS INT)) AS end_time

@@ -21,7 +21,15 @@ from tidegauge.plans.views import BY
 from tidegauge.schemas import IO_MEASURES
 from tidegauge.sources.constants import AVERAGE, BASE, CUSTOM, RATE, RATIO
 from tidegauge.streaming.deltas import counter_delta_stream, read_counter_deltas
-from tidegauge.streaming.windows import archive_resources_stream, windowed_report
+from tidegauge.streaming.windows import (
+    archive_resources_stream,
+    read_accounts,
+    read_archive,
+    read_missed,
+    read_report,
+    report_stream,
+    windowed_report,
+)
 
 from . import derived
 from .derived import GAUGE
@@ -546,6 +554,43 @@ def stream_report_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_stream(spark, windowed_report(events, "ts", ["event_type"], totals), "report_window")
 
 
+def _late_report(spark: SparkSession, sf_dir: str) -> str:
+    """Runs the report over four deliveries of events, a week each; every seventh event comes a delivery late."""
+    events = derived.table(spark, sf_dir, "events")
+    delivery = F.least(F.floor((F.day("ts") - 1) / 8) + F.when(F.col("event_id") % 7 == 0, 1).otherwise(0), F.lit(3))
+    totals = {"events": F.count("*"), "cents": F.expr("sum(cast(round(value * 100) as bigint))")}
+    folder, source = shared_folder(spark), f"{shared_folder(spark)}/events"
+    for n in range(4):
+        events.where(delivery == n).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(events.schema).parquet(source)
+        report_stream(stream, "ts", ["event_type"], totals, folder)
+    return folder
+
+
+def stream_report_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What became of the rows of each delivery."""
+    accounts = read_accounts(spark, _late_report(spark, sf_dir))
+    return accounts.selectExpr("cast(batch as int) as delivery", "arrived", "undated", "kept", "missed")
+
+
+def stream_report_closed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The closed windows of the same report, and the windows of the rows that it missed."""
+    folder = _late_report(spark, sf_dir)
+    missed = read_missed(spark, folder).groupBy("window_start", "window_end", "event_type")
+    missed = missed.agg(F.count("*").alias("events"), F.expr("sum(cast(round(value * 100) as bigint)) as cents"))
+    rows = read_report(spark, folder).withColumn("in_time", F.lit(True))
+    return rows.unionByName(missed.withColumn("in_time", F.lit(False)))
+
+
+def counter_unrated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows without a value where counters that fall have none."""
+    samples, params = _counters(spark, sf_dir)
+    # Every eleventh sample counts a third of what it did, so counters fall.
+    falling = samples.withColumn("cntr_value", F.expr("if(cntr_value % 11 = 0, cntr_value div 3, cntr_value)"))
+    rows = tg.unrated_counters(falling, params, on_reset="null")
+    return rows.select(*BY, "inst_perf_param_id", F.expr(whole("cumulative_perf_value")), "measurement_interval_s")
+
+
 def stream_resource_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repeated gauge rows of an instance and hour enter the archive once."""
     events = read_events_stream(spark, sf_dir).select(
@@ -554,7 +599,7 @@ def stream_resource_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     folder = shared_folder(spark)
     archive_resources_stream(events, ["instance_id", "end_time"], folder)
-    return spark.read.schema(events.schema).parquet(f"{folder}/archive").select(*events.columns)
+    return read_archive(spark, folder, events.schema)
 
 
 def read_events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -623,5 +668,8 @@ QUERIES: dict[str, Query] = {
     "capacity_message": capacity_message,
     "stream_counter_delta": stream_counter_delta,
     "stream_report_window": stream_report_window,
+    "stream_report_accounts": stream_report_accounts,
+    "stream_report_closed": stream_report_closed,
+    "counter_unrated": counter_unrated,
     "stream_resource_dedup": stream_resource_dedup,
 }

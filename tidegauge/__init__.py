@@ -21,11 +21,12 @@ from .operators.usage import (
     index_rollup,
     legacy_file_usage,
     legacy_table_usage,
+    online_only,
     partition_rollup,
     table_usage,
 )
 from .operators.waits import drop_innocuous, wait_delta, with_wait_averages
-from .plans.monitors import run_monitors
+from .plans.monitors import run_monitors, store_monitors
 from .plans.report import io_summary, performance_report, snapshot_report, wait_share, wait_share_report
 from .plans.views import memory_snapshot, summary_ratio, throughput, wait_categories, waittime_snapshot
 from .sources.constants import custom_counters, innocuous_waits

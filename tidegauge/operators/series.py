@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.time import time_chunk_sql
 
@@ -86,3 +86,52 @@ def with_previous_snapshot(
         "*", *[f"if({adjacent}, lag({v}) {over}, null) as prev_{v}" for v in values]
     )
     return looked_up.where(f"_chunk = {home}").drop("_copy")
+
+
+def as_of(
+    df: DataFrame,
+    log: DataFrame,
+    keys: Sequence[str],
+    values: Sequence[str],
+    *,
+    time: str = "snapshot_date",
+    since: str = "since",
+    chunk_days: int = CHUNK_DAYS,
+) -> DataFrame:
+    """Adds the columns ``values`` of the last row of ``log`` for the same keys at or before ``time``; NULL if there is none.
+
+    Both tables become one series that is shuffled once, by keys and stretch: the last value inside a stretch is carried on by
+    a window, the last value of each stretch over the stretches (one row each).  Of several log rows at one instant the
+    largest holds.
+    """
+    series, columns = list(keys), df.columns
+    own, told = F.struct(*[F.col(f"`{c}`") for c in columns]), F.struct(F.col(since).alias("_since"), *[F.col(v).alias(v) for v in values])
+    nothing = F.lit(None)
+    rows = df.select(*series, F.col(time).alias("_at"), own.alias("_row"), nothing.cast(_type_of(log, told)).alias("_told"))
+    changes = log.where(F.col(since).isNotNull()).select(
+        *series, F.col(since).alias("_at"), nothing.cast(_type_of(df, own)).alias("_row"), told.alias("_told")
+    )
+    placed = rows.unionByName(changes).withColumn("_chunk", F.expr(time_chunk_sql("_at", chunk_days)))
+    placed = placed.repartition(*series, "_chunk")
+    stretch, whole = ", ".join([*series, "_chunk"]), ", ".join(series)
+    # Log rows come before rows of the same instant, the largest last.
+    inside = f"last(_told, true) over (partition by {stretch} order by _at, _row is not null, _told rows unbounded preceding)"
+    carried = (
+        placed.where("_told is not null")
+        .groupBy(*series, "_chunk")
+        .agg(F.max("_told").alias("_last"))
+        .unionByName(placed.where("_row is not null").select(*series, "_chunk").distinct().withColumn("_last", nothing.cast(_type_of(log, told))))
+        .groupBy(*series, "_chunk")
+        .agg(F.max("_last").alias("_last"))
+        .selectExpr(
+            *series, "_chunk",
+            f"last(_last, true) over (partition by {whole} order by _chunk rows between unbounded preceding and 1 preceding) as _before",
+        )
+    )
+    found = placed.selectExpr("*", f"{inside} as _inside").where("_row is not null").join(carried, [*series, "_chunk"], "left")
+    state = F.coalesce("_inside", "_before")
+    return found.select("_row.*", *[state[v].alias(v) for v in values])
+
+
+def _type_of(df: DataFrame, column: Column):
+    return df.select(column.alias("c")).schema["c"].dataType

@@ -259,6 +259,18 @@ def io_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def database_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A log of database states: on the 15th of two months out of three a database goes offline or comes back."""
+    months = raw_io(spark, sf_dir).select("instance_id", "database_name", "snapshot_date").distinct()
+    turn = (F.year("snapshot_date") * 12 + F.month("snapshot_date") + F.col("instance_id")) % 3
+    return months.where(turn < 2).select(
+        "instance_id",
+        F.upper("database_name").alias("database_name"),
+        (F.col("snapshot_date") + F.make_dt_interval(F.lit(14))).alias("since"),
+        F.when(turn == 0, "OFFLINE").otherwise("ONLINE").alias("state_desc"),
+    )
+
+
 def _file_number(c: str) -> Column:
     """1 for AF, 2 for RF, 3 for NO, ... by the last two letters of the file name."""
     flag, status = F.substring(c, 5, 1), F.substring(c, 6, 1)

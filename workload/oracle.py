@@ -168,6 +168,16 @@ _CTES["raw_io"] = (
   WINDOW f AS (PARTITION BY instance_id, database_name, logical_filename ORDER BY snapshot_date)""",
 )
 
+_CTES["database_states"] = (
+    ("raw_io",),
+    """
+  SELECT instance_id, upper(database_name) AS database_name, snapshot_date + INTERVAL 14 DAY AS since,
+         CASE WHEN turn = 0 THEN 'OFFLINE' ELSE 'ONLINE' END AS state_desc
+  FROM (SELECT DISTINCT instance_id, database_name, snapshot_date,
+               (year(snapshot_date) * 12 + month(snapshot_date) + instance_id) % 3 AS turn FROM raw_io) m
+  WHERE turn < 2""",
+)
+
 # ---- sequence, dimension, counters ---------------------------------------------------------------
 
 _SEQUENCE = """
@@ -841,6 +851,23 @@ WHERE wait_time_request_average > 100""",
         + f" WHERE snapshot_date <= {_ARCHIVE_CUTOFF}",
         "waits",
     ),
+    "wait_archive_tables": _sql(
+        _WAIT.format(
+            source="waits",
+            more=f""", CASE WHEN snapshot_date <= {_ARCHIVE_CUTOFF} THEN TIMESTAMP '2024-01-30 12:00:00' END AS date_added,
+       CASE WHEN snapshot_date <= TIMESTAMP '2024-01-09 12:00:00' THEN 'older than 21'
+            WHEN snapshot_date <= {_ARCHIVE_CUTOFF} THEN 'older than 14' END AS archived_by_user""",
+        ),
+        "waits",
+    ),
+    "io_online": _sql(
+        """SELECT s.instance_id, s.snapshot_date, s.database_name, s.logical_filename, s.num_of_reads
+FROM raw_io s ASOF LEFT JOIN database_states d
+  ON d.instance_id = s.instance_id AND d.database_name = upper(s.database_name) AND d.since <= s.snapshot_date
+WHERE COALESCE(d.state_desc, 'ONLINE') = 'ONLINE'""",
+        "raw_io",
+        "database_states",
+    ),
     "io_file_samples": _sql(
         f"""SELECT instance_id, snapshot_date, database_name,
        CASE WHEN tempdb THEN label ELSE logical_filename END AS logical_filename,
@@ -1016,3 +1043,17 @@ SELECT DISTINCT CAST(user_id // 10 AS INT) AS instance_id,
        CAST(CAST(ts AS DATE) AS TIMESTAMP) + to_hours(CAST(hour(ts) AS INT)) AS end_time
 FROM events""",
 }
+_STORED = {
+    "instance": "config_change_log",
+    "perf_snap": "perf_snap_fleet",
+    "wait_summary": "wait_interval",
+    "filestats": "io_file_samples",
+    "file_usage": "file_usage",
+    "drive_usage": "drive_usage",
+    "resource_history": None,
+}
+ORACLE_SQL["monitors_stored"] = " UNION ALL ".join(
+    f"SELECT '{kind}' AS kind, COUNT(*) AS stored, COUNT(DISTINCT instance_id) AS instances FROM "
+    f"({ORACLE_SQL[name] if name else _sql('SELECT * FROM resource', 'resource')}) t_{kind}"
+    for kind, name in _STORED.items()
+)

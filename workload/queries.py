@@ -20,6 +20,8 @@ from tidegauge.plans.report import snapshot_report_from_views
 from tidegauge.plans.views import BY
 from tidegauge.schemas import IO_MEASURES
 from tidegauge.sources.constants import AVERAGE, BASE, CUSTOM, RATE, RATIO
+from tidegauge.sources.readers import read_snapshots
+from tidegauge.sources.history import add_piece, create_tables, move_aged, read_current, read_history
 from tidegauge.streaming.deltas import counter_delta_stream, read_counter_deltas
 from tidegauge.streaming.windows import (
     archive_resources_stream,
@@ -286,6 +288,19 @@ def wait_archive_move(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _wait_columns(tg.with_audit(aged, asof=ARCHIVE_ASOF, user="archiver"), "date_added", "archived_by_user")
 
 
+def wait_archive_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored waits after two archive moves, the second one run twice: current and history, read back."""
+    waits, folder = staged(spark, _waits(spark, sf_dir), "wait_summary"), shared_folder(spark)
+    create_tables(spark, folder)
+    early = F.col("snapshot_date") < ts("2024-01-12 16:00:00")
+    add_piece(waits.where(early), folder, kind="wait_summary", piece="early")
+    add_piece(waits.where(~early), folder, kind="wait_summary", piece="late")
+    for days in (21, ARCHIVE_DAYS, ARCHIVE_DAYS):
+        move_aged(spark, folder, kind="wait_summary", asof=ARCHIVE_ASOF, days=days, user=f"older than {days}")
+    current = _wait_columns(read_current(spark, "wait_summary", folder), "cast(null as timestamp_ntz) as date_added", "cast(null as string) as archived_by_user")
+    return current.unionByName(_wait_columns(read_history(spark, "wait_summary", folder), "date_added", "archived_by_user"))
+
+
 # ---- file IO ------------------------------------------------------------------------------------
 
 
@@ -310,6 +325,42 @@ def io_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def io_online(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """IO samples of databases that were online at the snapshot, by a log of their states."""
+    samples = staged(spark, derived.raw_io(spark, sf_dir), "io")
+    online = tg.online_only(samples, derived.database_states(spark, sf_dir), chunk_days=90)
+    return online.select(*BY, "database_name", "logical_filename", "num_of_reads")
+
+
+def monitors_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All monitors stored, twice, and every table read back: its rows, instances and snapshots."""
+    config = derived.raw_config(spark, sf_dir)
+    inputs = {
+        "config": config,
+        "counters": staged(spark, _some_twice(derived.raw_counters(spark, sf_dir), "cntr_value"), "counters"),
+        "waits": _wait_samples(spark, sf_dir),
+        "io_stats": derived.io_stats(spark, sf_dir),
+        "databases": derived.io_databases(spark, sf_dir),
+        "files": derived.io_files(spark, sf_dir),
+        "database_files": derived.database_files(spark, sf_dir),
+        "resource_stats": derived.resource_stats(spark, sf_dir),
+        "drives": derived.drives(spark, sf_dir),
+    }
+    databases = inputs["database_files"].select("instance_id", "database_name").distinct()
+    inputs["data_spaces"] = derived.data_spaces(spark, sf_dir).join(databases, "database_name")
+    folder = shared_folder(spark)
+    for run in (1, 2):
+        tables = tg.store_monitors(inputs, f"{folder}/tables", asof=ARCHIVE_ASOF, user="monitor", work=f"{folder}/work-{run}")
+    counts = []
+    for kind in tables:
+        rows = read_snapshots(spark, kind, f"{folder}/tables/{kind}")
+        counts.append(rows.agg(F.count("*").alias("stored"), F.count_distinct("instance_id").alias("instances")).withColumn("kind", F.lit(kind)))
+    whole = counts[0]
+    for more in counts[1:]:
+        whole = whole.unionByName(more)
+    return whole
+
+
 def _io_summary(kind: str | None) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         return tg.io_summary(_files(spark, sf_dir), kind)
@@ -633,8 +684,11 @@ QUERIES: dict[str, Query] = {
     "wait_share_report": wait_share_report,
     "wait_archive_keep": wait_archive_keep,
     "wait_archive_move": wait_archive_move,
+    "wait_archive_tables": wait_archive_tables,
     "io_file_samples": io_file_samples,
     "io_interval": io_interval,
+    "io_online": io_online,
+    "monitors_stored": monitors_stored,
     "io_summary_all": _io_summary(None),
     "io_summary_rows": _io_summary("rows"),
     "io_summary_log": _io_summary("log"),

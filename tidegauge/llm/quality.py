@@ -11,7 +11,7 @@ columns may have any names; an added column replaces one of the same name.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge.llm.shared import SPACES, WORD, shielded, staged, unshielded
@@ -74,23 +74,26 @@ def measured(rows: DataFrame, text: Column) -> DataFrame:
     return _with_repeat_words(rows)
 
 
-def host_verdicts(failures: DataFrame, limits: dict[str, float], max_strength: float = 1000.0) -> DataFrame:
+def host_verdicts(failures: DataFrame, limits: dict[str, float], max_strength: float = 10.0) -> DataFrame:
     """``host, n_docs, <rule>_rate, host_kept`` from rows ``host`` and a 0/1 column for each rule.
 
     For each rule the hosts' rates give a beta prior by their mean m and variance v over hosts, weighted by documents:
     strength ``m (1 - m) / v - 1``, between 1 and ``max_strength``.  A host's rate is ``(failures + strength m) / (documents +
-    strength)``.
+    strength)``.  The prior weighs at most ``max_strength`` documents, so a host is judged alike in a corpus of any size.
     """
-    everything = Window.partitionBy()
     hosts = failures.groupBy("host").agg(F.count(F.lit(1)).alias("n_docs"), *[F.sum(r).alias(r) for r in limits])
-    total = F.sum("n_docs").over(everything)
+    hosts = staged(hosts, "quality-host-sums")
+    sums = [F.sum("n_docs").alias("total")]
     for rule in limits:
-        raw = F.col(rule) / F.col("n_docs")
-        hosts = hosts.withColumn("m", F.sum(rule).over(everything) / total)
-        hosts = hosts.withColumn("v", F.sum(F.col("n_docs") * (raw - F.col("m")) * (raw - F.col("m"))).over(everything) / total)
-        strength = F.when(F.col("v") > 0, F.col("m") * (1 - F.col("m")) / F.col("v") - 1).otherwise(F.lit(max_strength))
+        sums += [F.sum(rule).alias(f"s_{rule}"), F.sum(F.col(rule) * F.col(rule) / F.col("n_docs")).alias(f"q_{rule}")]
+    # One row, summed by partial sums, that every host gets.
+    hosts = hosts.join(F.broadcast(hosts.agg(*sums)))
+    for rule in limits:
+        mean = F.col(f"s_{rule}") / F.col("total")
+        spread = F.col(f"q_{rule}") / F.col("total") - mean * mean
+        strength = F.when(spread > 0, mean * (1 - mean) / spread - 1).otherwise(F.lit(max_strength))
         strength = F.least(F.greatest(strength, F.lit(1.0)), F.lit(max_strength))
-        hosts = hosts.withColumn(f"{rule}_rate", (F.col(rule) + strength * F.col("m")) / (F.col("n_docs") + strength))
+        hosts = hosts.withColumn(f"{rule}_rate", (F.col(rule) + strength * mean) / (F.col("n_docs") + strength))
     good = [F.col(f"{rule}_rate") <= limit for rule, limit in limits.items()]
     kept = good[0]
     for g in good[1:]:

@@ -172,7 +172,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 _RATE = "({r} + k_{r} * m_{r}) / (n_docs + k_{r})"
-_STRENGTH = "least(greatest(CASE WHEN v_{r} > 0 THEN m_{r} * (1 - m_{r}) / v_{r} - 1 ELSE 1000 END, 1), 1000) AS k_{r}"
+_STRENGTH = "least(greatest(CASE WHEN v_{r} > 0 THEN m_{r} * (1 - m_{r}) / v_{r} - 1 ELSE 10 END, 1), 10) AS k_{r}"
 _RULES = ("few_words", "repetitive", "symbols", "repeated_lines")
 
 #: What SQL can say.  The others learn, cut text, build files or search by hashing; tests hold them against brute force.

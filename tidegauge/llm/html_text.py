@@ -3,9 +3,10 @@
 One pass hashes the subtrees of every page and counts, per host, the page contents that hold each; subtrees found in many of a
 host's contents are its template.  Pages with the same main text are one content, so copies of a page are no evidence,
 and a subtree with most of a page's main text is never taken for its template.  A second pass reads the pages again, leaves out template subtrees and elements that are
-menus, notices, forms and the like by their name, class or role, and joins the remaining blocks of the article.
+menus, notices, forms and the like by their name, class or role, and joins the remaining blocks of the article (of ``main``, if the
+articles hold less than half of its text).
 
-Inside an article, a paragraph or heading is never taken for template: texts may be copied between pages.
+Inside an article, names of classes decide on containers only, and only whole: ``comment-list`` goes, ``related-work`` stays.  Inside an article, a paragraph or heading is never taken for template: texts may be copied between pages.
 
 Defined results: null or empty html gives an empty text; a null url has no host, so only element names count; repeated rows
 count once for their host; truncated and unbalanced markup is read as far as it goes; an empty table gives an empty result.
@@ -16,6 +17,7 @@ from __future__ import annotations
 
 import html as html_module
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -27,7 +29,7 @@ from tidegauge.llm.shared import shielded, staged, unshielded
 from tidegauge.llm.url_filter import url_parts
 
 #: Elements whose content is never text of the page, up to their end tag.
-_OPAQUE = "script|style|title|textarea|noscript|iframe|template|svg|math|object|select|button"
+_OPAQUE = "script|style|title|textarea|iframe|template|svg|math|object|select"
 _TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<({_OPAQUE})(?=[\s/>]).*?(?:</\1[^>]*(?:>|\Z)|\Z)|<[!?][^>]*(?:>|\Z)"
     r"""|<(/?)([a-z][^\s/>]*)((?:[^>"']++|"[^"]*"|'[^']*')*+)(?:>|\Z)|<(/?)([a-z][^\s/>]*)([^>]*)(?:>|\Z)""",
@@ -52,6 +54,8 @@ _DROPPED_WORDS = frozenset(
     pagination pager toolbar login""".split()
 )
 _HEADS = frozenset("header masthead topbar".split())
+#: Inside an article a container goes only if all parts of one of its names say so: these, and at least one of those above.
+_PARTS = frozenset("box block list area section wrapper container inner outer item items top bottom left right main site page link links icons bar js".split())
 
 
 def _is_dropped(name: str, attributes: str, in_article: bool) -> bool:
@@ -65,25 +69,34 @@ def _is_dropped(name: str, attributes: str, in_article: bool) -> bool:
             return True
         if key == "role" and value in _DROPPED_ROLES:
             return True
-        if key in ("class", "id"):
-            words = set(re.split(r"[^a-z]+", value))
-            if words & _DROPPED_WORDS or not in_article and words & _HEADS:
+        if key in ("class", "id") and not (in_article and name in _TEXT_BLOCKS):
+            if in_article:
+                if any(_says_so(part) for part in value.split()):
+                    return True
+            elif set(re.split(r"[^a-z]+", value)) & (_DROPPED_WORDS | _HEADS):
                 return True
     return False
 
 
+def _says_so(name: str) -> bool:
+    """Whether a name is made of nothing but words of dropped elements and parts of pages: ``comment-list``, not ``related-work``."""
+    words = {w for w in re.split(r"[^a-z]+", name) if w}
+    return bool(words & _DROPPED_WORDS) and words <= _DROPPED_WORDS | _PARTS
+
+
 class Page:
     """Blocks of text in order, and the elements they stand in.
 
-    ``elements`` has (parent, hash of the subtree or None if it can't be template); ``blocks`` has (element, within an
-    article or main, text).  Elements left out by name have no blocks, but their subtrees are hashed too.
+    ``elements`` has (parent, hash of the subtree or None if it can't be template); ``blocks`` has (element, 2 within an
+    article plus 1 within main, text).  Elements left out by name have no blocks, but their subtrees are hashed too.
     """
 
     def __init__(self, html: str):
         self.elements: list[list] = []
         self.blocks: list[tuple[int, int, str]] = []
-        stack: list[tuple[str, int, int, bool, int]] = []  # name, element, start, dropped, rank of article (2) or main (1)
+        stack: list[tuple[str, int, int, bool, int]] = []  # name, element, start, dropped, in article (2) and main (1)
         words: list[str] = []
+        opened: Counter[str] = Counter()  # an end tag of what is not open costs nothing
 
         def flush() -> None:
             if words:
@@ -95,11 +108,14 @@ class Page:
         def close(depth: int, stop: int) -> None:
             while len(stack) > depth:
                 name, element, start, dropped, rank = stack.pop()
+                opened[name] -= 1
                 if element >= 0 and name not in _ROOTS and name in _BLOCKS and (name in _CONTAINERS or not rank) and self.elements[element][2] == start:
                     self.elements[element][1] = xxhash.xxh64_intdigest(html[start:stop].encode("utf-8", "surrogatepass")) - (1 << 63)
 
         def up_to(names) -> int | None:
             """Depth of the innermost open element of these names, not beyond a list, table or container of them."""
+            if not any(opened[n] for n in names):
+                return None
             for depth in range(len(stack) - 1, -1, -1):
                 if stack[depth][0] in names:
                     return depth
@@ -119,9 +135,8 @@ class Page:
             if ending:
                 if name in _BLOCKS:
                     flush()
-                depth = next((d for d in range(len(stack) - 1, -1, -1) if stack[d][0] == name), None)
-                if depth is not None:
-                    close(depth, at)
+                if opened[name]:
+                    close(next(d for d in range(len(stack) - 1, -1, -1) if stack[d][0] == name), at)
                 continue
             if name in _VOID:
                 words.append("\n")
@@ -133,15 +148,17 @@ class Page:
                     close(depth, m.start())
                 if name in _ENDS and (depth := up_to(_ENDS[name])) is not None:
                     close(depth, m.start())
-                if name in ("body", "article", "main") and (depth := next((d for d, x in enumerate(stack) if x[0] == "head"), None)) is not None:
-                    close(depth, m.start())
+                if name in ("body", "article", "main") and opened["head"]:
+                    close(next(d for d, x in enumerate(stack) if x[0] == "head"), m.start())
                 _, parent, _, dropped, rank = stack[-1] if stack else ("", -1, 0, False, 0)
                 dropped = dropped or _is_dropped(name, attributes, rank > 0)
-                rank = 2 if name == "article" else max(rank, 1) if name == "main" else rank
+                rank |= 2 if name == "article" else 1 if name == "main" else 0
+                opened[name] += 1
                 self.elements.append([parent, None, m.start()])
                 stack.append((name, len(self.elements) - 1, m.start(), dropped, rank))
             elif not attributes.endswith("/"):
                 _, parent, _, dropped, rank = stack[-1] if stack else ("", -1, 0, False, 0)
+                opened[name] += 1
                 stack.append((name, parent, -1, dropped or bool(attributes) and _is_dropped(name, attributes, True), rank))
         if at < len(html):
             words.append(html_module.unescape(html[at:]))
@@ -149,9 +166,11 @@ class Page:
         close(0, len(html))
 
     def main(self) -> list[tuple[int, str]]:
-        """Element and text of the blocks of the articles, else of main, else of the whole body."""
-        best = max((rank for _, rank, _ in self.blocks), default=0)
-        return [(element, text) for element, rank, text in self.blocks if rank == best]
+        """Element and text of the blocks of the articles, of main if these have less than half of its text, else of the whole body."""
+        in_articles = sum(len(text) for _, rank, text in self.blocks if rank & 2)
+        in_main = sum(len(text) for _, rank, text in self.blocks if rank & 1)
+        place = 2 if in_articles and 2 * in_articles >= in_main else 1 if in_main else 0
+        return [(element, text) for element, rank, text in self.blocks if not place or rank & place]
 
     def content(self) -> int:
         """A hash of the main text."""

@@ -215,7 +215,7 @@ def test_components(spark):
 
 def test_registered_queries(spark, sf_dir):
     numbers = sorted(int(name.split("_")[0][2:]) for name in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     for name in ("op2_url_filter", "op5_warc", "op9_html_text", "op3_near_vectors"):
         table = "embeddings" if name.startswith("op3") else "pages"
         assert QUERIES[name](spark, sf_dir).count() == spark.read.parquet(f"{sf_dir}/{table}.parquet").count()

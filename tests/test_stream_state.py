@@ -50,7 +50,7 @@ def ordered(df):
     return sorted(tuple(r) for r in df.collect())
 
 
-@pytest.mark.parametrize("seed,n,parts", [(1, 12, 5), (2, 30, 4)])
+@pytest.mark.parametrize("seed,n,parts", [(1, 12, 4), (2, 30, 3)])
 def test_any_order_equals_batch(spark, tmp_path, seed, n, parts):
     frames, folder = drawn(spark, seed, n, parts), str(tmp_path / "out")
     counter_delta_stream(feed(spark, tmp_path / "in", frames), dim(spark), folder, on_reset="null")
@@ -116,7 +116,7 @@ def test_reading_does_not_grow_with_triggers(spark, tmp_path, monkeypatch):
     assert snap_rows(read_counter_deltas(spark, str(tmp_path / "out"))) == snap_rows(tg.counter_delta(union(frames), dim(spark)))
 
 
-@pytest.mark.parametrize("killed_at", [1, 5, 6, 7])
+@pytest.mark.parametrize("killed_at", [2, 5, 7])
 def test_a_killed_trigger_leaves_what_was_committed(spark, tmp_path, monkeypatch, killed_at):
     rows = [[(h, 0, "C", 10 * h, CUSTOM), (h, 0, "R", 90 * h, RATE)] for h in (1, 3, 2, 4)]
     folder, writes = str(tmp_path / "out"), []

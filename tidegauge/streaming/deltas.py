@@ -19,7 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions.time import snapshot_day
 from ..operators.counters import counter_delta
 from ..operators.sequence import SEQUENCE_COLUMNS, snapshot_sequence
-from ..operators.series import CHUNK_DAYS
+from ..operators.series import CHUNK_DAYS, row_tasks
 from ..schemas import COUNTER_SAMPLES, PERF_SNAP
 from ..sources.slots import commit_generation, newest_generation, read_generation, slot
 
@@ -104,12 +104,12 @@ def _advance(arrived: DataFrame, batch: int, params: DataFrame, folder: str, opt
     else:
         needed, at = _needed_behind_tail(spark, folder, batch, polls, sorted(months), found[1], options)
         # The days of the triggers that hold them: a list of folders, no listing of others.
-        places = at.join(needed, list(_AT), "left_semi").select("batch", snapshot_day().alias("day")).distinct().collect()
+        places = at.join(_by_poll(needed), list(_AT), "left_semi").select("batch", snapshot_day().alias("day")).distinct().collect()
         stored = _read(spark, COUNTER_SAMPLES, *[f"{folder}/samples/batch={p.batch}/snapshot_day={p.day}" for p in places])
     # Samples meet the needed snapshots as their sequence; all others go there.
-    delta = counter_delta(stored, params, sequence=needed, keep_unrated=True, **options)
+    delta = counter_delta(stored, params, sequence=needed, keep_unrated=True, tasks=row_tasks(stored), **options)
     touched = needed.where("touched").select(*_AT)
-    rows = delta.join(touched, list(_AT), "left_semi")
+    rows = delta.join(_by_poll(touched), list(_AT), "left_semi")
     # A row without a counter for each touched snapshot: one that is left without rows replaces its older rows too.
     marks = touched.select(*_AT, *[F.lit(None).cast(f.dataType).alias(f.name) for f in PERF_SNAP.fields if f.name not in _AT])
     _write(rows.unionByName(marks), f"{folder}/perf_snap/batch={batch}")
@@ -125,7 +125,7 @@ def _advance(arrived: DataFrame, batch: int, params: DataFrame, folder: str, opt
 
 def _needed(spark: SparkSession, folder: str, batch: int, history: DataFrame, polls: DataFrame, options: dict) -> DataFrame:
     """The snapshots of the trigger and those right after them (``touched``), and those right before them, with their sequence."""
-    own = [polls.select("instance_id", F.col("snapshot_date").alias(c), F.lit(True).alias(f"_{c}")) for c in _NEIGHBOURS]
+    own = [_by_poll(polls.select("instance_id", F.col("snapshot_date").alias(c), F.lit(True).alias(f"_{c}"))) for c in _NEIGHBOURS]
     sequence = snapshot_sequence(history, parity=options["parity"], chunk_days=options["chunk_days"])
     for c, mine in zip(_NEIGHBOURS, own):
         sequence = sequence.join(mine, ["instance_id", c], "left")
@@ -163,6 +163,12 @@ def _needed_behind_tail(
         further *= 2
 
 
+def _by_poll(polls: DataFrame) -> DataFrame:
+    """Marks rows by poll for a join that keeps them off the driver: they grow with fleet and history, and each trigger joins
+    them several times, so a broadcast each time would send more with every one."""
+    return polls.hint("shuffle_hash")
+
+
 def read_counter_deltas(spark: SparkSession, folder: str) -> DataFrame:
     """``perf_snap`` rows as of the last committed trigger: each snapshot as it was last computed."""
     return _newest(spark, folder).where("instance_perf_value is not null")
@@ -177,7 +183,7 @@ def _newest(spark: SparkSession, folder: str) -> DataFrame:
     rows = spark.read.schema(T.StructType([*PERF_SNAP.fields, _BATCH])).parquet(f"{folder}/perf_snap")
     rows = rows.where(F.col("batch") <= newest_generation(spark, f"{folder}/state"))
     last = rows.where("inst_perf_param_id is null").groupBy(*_AT).agg(F.max("batch").alias("batch"))
-    return rows.where("inst_perf_param_id is not null").join(last, [*_AT, "batch"], "left_semi").drop("batch")
+    return rows.where("inst_perf_param_id is not null").join(_by_poll(last), [*_AT, "batch"], "left_semi").drop("batch")
 
 
 def read_late_samples(spark: SparkSession, folder: str) -> DataFrame:

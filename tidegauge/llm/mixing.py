@@ -172,5 +172,5 @@ def mixed_documents(mixed: DataFrame, columns: list[str], text_col: str = "text"
     rows = mixed.filter("taken > 0").withColumn("mix_text", F.explode(copies))
     out = rows.withColumn(text_col, F.col("mix_text"))
     if "n_chars" in columns:
-        out = out.withColumn("n_chars", F.length(text_col).cast("long"))
+        out = out.withColumn("n_chars", F.length(text_col).cast(out.schema["n_chars"].dataType))
     return out.select(*columns)

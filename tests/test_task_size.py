@@ -9,7 +9,8 @@ from samples import at
 
 import tidegauge as tg
 from tidegauge.operators.series import row_tasks, with_previous_snapshot
-from workload import derived
+from tidegauge.plans.report import snapshot_report_from_views
+from workload import derived, queries
 from workload.staging import staged
 
 
@@ -47,3 +48,37 @@ def test_copies_over_a_border_carry_keys_and_values_only(spark):
     got = with_previous_snapshot(spark.createDataFrame(rows, schema), ["instance_id", "k"], ["v"], chunk_days=1)
     assert sorted((r.v, r.prev_v, r.note) for r in got.collect()) == [(5, None, "long"), (7, 5, "text")]
     assert "CASE WHEN" in plan(got)
+
+
+VIEWS = {
+    "throughput_pivot": tg.throughput,
+    "memory_pivot": tg.memory_snapshot,
+    "waittime_pivot": tg.waittime_snapshot,
+    "summary_ratio": tg.summary_ratio,
+    "performance_report": tg.snapshot_report,
+    "performance_report_from_views": snapshot_report_from_views,
+}
+
+
+@pytest.fixture(scope="module")
+def stored(spark, sf_dir):
+    return queries._facts(spark, sf_dir)
+
+
+@pytest.mark.parametrize("view", VIEWS.values(), ids=VIEWS)
+def test_views_group_facts_behind_one_exchange_by_snapshot(spark, stored, view):
+    facts, dim = stored
+    few, many = view(facts, dim).collect(), view(facts, dim, tasks=9).collect()
+    assert few and sorted(map(repr, many)) == sorted(map(repr, few))
+    # Facts that are smaller than the dimension would be broadcast to it; only the plan of these is looked at.
+    large = facts.crossJoin(spark.range(1000)).drop("id")
+    dealt = [line for line in plan(view(large, dim, tasks=50)).splitlines() if "Exchange hashpartitioning(instance_id" in line]
+    assert dealt and all(re.search(r"\(instance_id#\d+, snapshot_date#\d+, 50\), REPARTITION_BY_NUM", line) for line in dealt)
+
+
+@pytest.mark.parametrize("name", VIEWS)
+def test_queries_deal_facts_by_their_rows(spark, sf_dir, stored, monkeypatch, name):
+    monkeypatch.setattr(queries, "_facts", lambda *_: stored)
+    monkeypatch.setattr(queries, "row_tasks", lambda rows: 50 if rows is stored[0] else None)
+    text = plan(queries.QUERIES[name](spark, sf_dir))
+    assert re.search(r"Exchange hashpartitioning\(instance_id#\d+, snapshot_date#\d+, 50\), REPARTITION_BY_NUM", text)

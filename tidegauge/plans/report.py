@@ -15,22 +15,25 @@ from ..sources.readers import between_snapshots
 from .views import BY, memory_snapshot, snapshot_pivots, summary_ratio, throughput, waittime_snapshot
 
 
-def snapshot_report(snaps: DataFrame, params: DataFrame, *, parity: bool = False, strict: bool = False) -> DataFrame:
+def snapshot_report(
+    snaps: DataFrame, params: DataFrame, *, parity: bool = False, strict: bool = False, tasks: int | None = None
+) -> DataFrame:
     """One wide row per snapshot, newest first; a snapshot missing in any view is left out.
 
-    Three of the four views share one pass over the facts; the ratios take a second.
+    Three of the four views share one pass over the facts; the ratios take a second.  ``tasks`` as in ``views``.
     """
-    ratios = summary_ratio(snaps, params, parity=parity, strict=strict)
-    wide = ratios.join(snapshot_pivots(snaps, params, strict=strict), list(BY))
+    ratios = summary_ratio(snaps, params, parity=parity, strict=strict, tasks=tasks)
+    wide = ratios.join(snapshot_pivots(snaps, params, strict=strict, tasks=tasks), list(BY))
     return wide.select(*REPORT_COLUMNS).orderBy(F.desc("snapshot_date"), "instance_id")
 
 
-def snapshot_report_from_views(snaps: DataFrame, params: DataFrame, *, parity: bool = False) -> DataFrame:
+def snapshot_report_from_views(
+    snaps: DataFrame, params: DataFrame, *, parity: bool = False, tasks: int | None = None
+) -> DataFrame:
     """The same report as a join of the four views."""
-    views = (memory_snapshot(snaps, params), throughput(snaps, params), waittime_snapshot(snaps, params))
-    wide = summary_ratio(snaps, params, parity=parity)
-    for view in views:
-        wide = wide.join(view, list(BY))
+    wide = summary_ratio(snaps, params, parity=parity, tasks=tasks)
+    for view in (memory_snapshot, throughput, waittime_snapshot):
+        wide = wide.join(view(snaps, params, tasks=tasks), list(BY))
     return wide.select(*REPORT_COLUMNS).orderBy(F.desc("snapshot_date"), "instance_id")
 
 
@@ -106,19 +109,21 @@ def performance_report(
     start: datetime | None = None,
     parity: bool = False,
     strict: bool = False,
+    tasks: int | None = None,
 ) -> dict[str, DataFrame]:
     """The five results over ``[start, end]`` (default: the 30 minutes before ``end``).
 
     ``tables`` holds perf_snap with counter_dimension, wait_summary and filestats; results of a table
     not given are left out.  Results are lazy, so one that nobody collects costs nothing.  ``io`` holds the three IO results
     (``io_all``, ``io_rows``, ``io_log``) from one pass.  Tables with ``snapshot_day`` are pruned to the window.
+    ``tasks`` (``row_tasks`` of the perf_snap rows) keeps the tasks of ``snapshots`` small over many of them.
     """
     start, end = report_window(start, end)
     within = {name: between_snapshots(df, start, end) for name, df in tables.items() if name != "counter_dimension"}
     results = {}
     if "perf_snap" in within:
         results["snapshots"] = snapshot_report(
-            within["perf_snap"], tables["counter_dimension"], parity=parity, strict=strict
+            within["perf_snap"], tables["counter_dimension"], parity=parity, strict=strict, tasks=tasks
         )
     if "wait_summary" in within:
         results["waits"] = wait_share_report(within["wait_summary"], strict=strict)

@@ -2,6 +2,10 @@
 
 Each pivot is one aggregation by (instance, snapshot) over the fact table joined to the counter
 dimension.  Names are compared by key, so case and trailing blanks do not matter.
+
+``tasks`` (``row_tasks`` of the stored facts) is for many facts: their rows, those of the view's counters, are dealt to so many
+tasks by snapshot before they are aggregated.  Rows of a snapshot lie in many files, so groups made file by file would fill a
+task as the files grow.
 """
 
 from __future__ import annotations
@@ -38,28 +42,32 @@ _IS_MEMORY = f"{_ends_with_any('object_key', MEMORY_OBJECTS)} and {key_in_sql('i
 _IS_WAIT_TIME = _ends_with_any("object_key", (WAIT_TIME_OBJECT,))
 
 
-def throughput(snaps: DataFrame, params: DataFrame) -> DataFrame:
+def throughput(snaps: DataFrame, params: DataFrame, *, tasks: int | None = None) -> DataFrame:
     """Fourteen throughput counters side by side."""
-    return _facts(snaps, params).groupBy(*BY).agg(*_throughput_columns())
+    return _facts(snaps, params, tasks=tasks).groupBy(*BY).agg(*_throughput_columns())
 
 
-def memory_snapshot(snaps: DataFrame, params: DataFrame, *, strict: bool = False) -> DataFrame:
+def memory_snapshot(
+    snaps: DataFrame, params: DataFrame, *, strict: bool = False, tasks: int | None = None
+) -> DataFrame:
     """Memory figures in GB, and page life expectancy.  ``strict`` raises from 1000 GB on."""
-    return _facts(snaps, params).where(_IS_MEMORY).groupBy(*BY).agg(*_memory_columns(strict))
+    return _facts(snaps, params, _IS_MEMORY, tasks=tasks).groupBy(*BY).agg(*_memory_columns(strict))
 
 
-def waittime_snapshot(snaps: DataFrame, params: DataFrame) -> DataFrame:
+def waittime_snapshot(snaps: DataFrame, params: DataFrame, *, tasks: int | None = None) -> DataFrame:
     """Average wait times in ms of nine wait classes."""
-    return _facts(snaps, params).where(_IS_WAIT_TIME).groupBy(*BY).agg(*_wait_time_columns())
+    return _facts(snaps, params, _IS_WAIT_TIME, tasks=tasks).groupBy(*BY).agg(*_wait_time_columns())
 
 
-def snapshot_pivots(snaps: DataFrame, params: DataFrame, *, strict: bool = False) -> DataFrame:
+def snapshot_pivots(
+    snaps: DataFrame, params: DataFrame, *, strict: bool = False, tasks: int | None = None
+) -> DataFrame:
     """Throughput, memory and wait times in a single pass over the facts.
 
     Holds the snapshots present in all three views.
     """
     return (
-        _facts(snaps, params)
+        _facts(snaps, params, tasks=tasks)
         .groupBy(*BY)
         .agg(
             *_throughput_columns(),
@@ -73,7 +81,9 @@ def snapshot_pivots(snaps: DataFrame, params: DataFrame, *, strict: bool = False
     )
 
 
-def summary_ratio(snaps: DataFrame, params: DataFrame, *, parity: bool = False, strict: bool = False) -> DataFrame:
+def summary_ratio(
+    snaps: DataFrame, params: DataFrame, *, parity: bool = False, strict: bool = False, tasks: int | None = None
+) -> DataFrame:
     """Ratio counters against their base, in percent.
 
     A ratio needs both values in the snapshot; it is NULL when either is missing or the base is 0.
@@ -90,7 +100,7 @@ def summary_ratio(snaps: DataFrame, params: DataFrame, *, parity: bool = False,
         *names,
     )
     pairs = (
-        snaps.select(*BY, "inst_perf_param_id", _VALUE)
+        _by_snapshot(snaps.select(*BY, "inst_perf_param_id", _VALUE), members, tasks)
         .join(members, "inst_perf_param_id")
         .groupBy(*BY, "base_id", *names)
         .agg(
@@ -132,15 +142,23 @@ def wait_categories(
     )
 
 
-def _facts(snaps: DataFrame, params: DataFrame) -> DataFrame:
+def _facts(snaps: DataFrame, params: DataFrame, scope: str = "true", *, tasks: int | None = None) -> DataFrame:
     names = params.selectExpr(
         "inst_perf_param_id",
         f"{name_key_sql('object_nm')} as object_key",
         f"{name_key_sql('counter_nm')} as counter_key",
         f"{name_key_sql('instance_nm')} as instance_key",
-    )
+    ).where(scope)
     measured = snaps.where("not startup_measure_ind").select(*BY, "inst_perf_param_id", _VALUE)
-    return measured.join(names, "inst_perf_param_id")
+    return _by_snapshot(measured, names, tasks).join(names, "inst_perf_param_id")
+
+
+def _by_snapshot(rows: DataFrame, counters: DataFrame, tasks: int | None) -> DataFrame:
+    """The rows of ``counters``, all of a snapshot in one of ``tasks``; names are joined behind the exchange, so none is sent."""
+    if not tasks:
+        return rows
+    wanted = counters.select("inst_perf_param_id")
+    return rows.join(wanted, "inst_perf_param_id", "left_semi").repartition(tasks, *BY)
 
 
 def _pick(column: str, value: str, *conditions: str | None) -> Column:
